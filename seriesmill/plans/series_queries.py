@@ -68,7 +68,7 @@ def lag_with_nulls_back_filled(spark, folder):
         "ord",
         "SELECT obs_id, idx, "
         + ", ".join(
-            f"round(avg({c}) OVER (ORDER BY idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6)"
+            f"round(avg({c}) OVER (ORDER BY idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 7)"
             f" AS {c}_avg"
             for c in ("qty", "disc", "ext")
         )
@@ -79,7 +79,7 @@ def rolling_means(spark, folder):
     columns = ["qty", "disc", "ext"]
     rows = windows.rolled(ordered(spark, folder, columns), columns)
     made = [f"{c}_avg" for c in columns]
-    return rounded(rows.select("obs_id", "idx", *made), made)
+    return rounded(rows.select("obs_id", "idx", *made), made, 7)
 
 
 @query(
