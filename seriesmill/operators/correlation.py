@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import numeric_columns
+from seriesmill.functions.moments import pearson
 
 WIDE = 12  # from this many columns on, pairs are summed as matrix products
 
@@ -24,7 +25,7 @@ def correlation_with(
     """
     columns = list(columns or numeric_columns(df))
     packed = [
-        F.struct(F.lit(c).alias("column_name"), F.corr(c, target).alias("corr")) for c in columns
+        F.struct(F.lit(c).alias("column_name"), pearson(c, target).alias("corr")) for c in columns
     ]
     return df.agg(F.array(*packed).alias("_all")).select(F.inline("_all"))
 
@@ -49,7 +50,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
         F.struct(
             F.lit(row).alias("row_name"),
             F.lit(column).alias("column_name"),
-            F.corr(row, column).alias("corr"),
+            pearson(row, column).alias("corr"),
         )
         for column, row in combinations(columns, 2)
     ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators.encode import extremes, min_max_restored, min_max_scaled
 from seriesmill.operators.least_squares import fit_linear, predict_linear
-from seriesmill.operators.order import BLOCK_ROWS, over_blocks
+from seriesmill.operators.order import BLOCK_ROWS, join_summary, over_blocks
 from seriesmill.operators.windows import lag_names, supervised_windows
 
 
@@ -75,39 +75,81 @@ def predict_autoregression(
     return scored.withColumn(out, level).drop("_change")
 
 
+def fit_window_model(
+    df: DataFrame,
+    value: str,
+    length: int = 12,
+    fit_on: Column | None = None,
+    keys: Sequence[str] = (),
+    idx: str = "idx",
+) -> DataFrame:
+    """(keys.., n, coefficients, low, high): regression of a value on the ``length`` before it.
+
+    The series is min-max scaled by the extremes of the rows where ``fit_on`` holds,
+    common to all series; each series has its own coefficients.
+    """
+    low, high = extremes(df, value, fit_on)
+    rows = _scaled_windows(df, value, low, high, length, keys, idx)
+    rows = rows if fit_on is None else rows.where(fit_on)
+    fitted = fit_linear(rows, lag_names(length), "_scaled", keys)
+    return fitted.withColumns({"low": F.lit(low), "high": F.lit(high)})
+
+
+def predict_window_model(
+    df: DataFrame,
+    model: DataFrame,
+    value: str,
+    length: int = 12,
+    keys: Sequence[str] = (),
+    idx: str = "idx",
+    out: str = "predicted",
+) -> DataFrame:
+    """Add the prediction in the unit of ``value``; rows without a full window are dropped."""
+    scale = model.select("low", "high").first()
+    low, high = (scale["low"], scale["high"]) if scale else (0.0, 1.0)
+    rows = _scaled_windows(df, value, low, high, length, keys, idx)
+    scored = predict_linear(rows, model, lag_names(length), "_guess", keys=keys)
+    restored = min_max_restored(F.col("_guess"), low, high)
+    return scored.withColumn(out, restored).drop("_scaled", "_guess", *lag_names(length))
+
+
+def _scaled_windows(df, value, low, high, length, keys, idx) -> DataFrame:
+    scaled = df.withColumn("_scaled", min_max_scaled(F.col(value), low, high))
+    return supervised_windows(scaled, ["_scaled"], length, idx=idx, keys=keys)
+
+
+def early_part(
+    df: DataFrame, share: float = 0.9, keys: Sequence[str] = (), idx: str = "idx"
+) -> DataFrame:
+    """Add ``split``: 'train' for the first ``share`` of each series, 'val' for the rest."""
+    if not keys:
+        early = F.col(idx) < int(df.count() * share)
+        return df.withColumn("split", F.when(early, "train").otherwise("val"))
+    place = df.groupBy(*keys).agg(F.min(idx).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    early = F.col(idx) - F.col("_first") < F.floor(F.col("_n") * share)
+    return (
+        join_summary(df, place, list(keys))
+        .withColumn("split", F.when(early, "train").otherwise("val"))
+        .drop("_first", "_n")
+    )
+
+
 def window_forecast(
     df: DataFrame,
     value: str = "price",
     length: int = 12,
     train_share: float = 0.9,
-    fit_on_all: bool = False,
     keys: Sequence[str] = (),
     idx: str = "idx",
 ) -> DataFrame:
-    """Predict each value from the ``length`` values before it, on a min-max scaled series.
+    """Fit a window model on the first ``train_share`` of each series and predict all of it.
 
-    (.., split, actual, predicted), the first ``length`` rows of a series left out. Without
-    keys the scale and the coefficients come from the first ``train_share`` of the
-    positions (from all with ``fit_on_all``). With keys each series has its own
-    coefficients, the scale is common, and the share is taken of each series.
+    Adds (split, actual, predicted); the first ``length`` rows of a series are left out.
     """
-    if keys:
-        place = df.groupBy(*keys).agg(F.min(idx).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        df = df.join(place, list(keys))
-        early = F.col(idx) - F.col("_first") < F.floor(F.col("_n") * train_share)
-    else:
-        early = F.col(idx) < int(df.count() * train_share)
-    df = df.withColumn("split", F.when(early, "train").otherwise("val"))
-    fitted = F.lit(True) if fit_on_all else F.col("split") == "train"
-    low, high = extremes(df, value, fitted)
-    scaled = df.withColumn("_scaled", min_max_scaled(F.col(value), low, high))
-    rows = supervised_windows(scaled, ["_scaled"], length, idx=idx, keys=keys)
-    names = lag_names(length)
-    model = fit_linear(rows.where(fitted), names, "_scaled", keys)
-    scored = predict_linear(rows, model, names, "_guess", keys=keys)
-    return scored.withColumns(
-        {"actual": F.col(value), "predicted": min_max_restored(F.col("_guess"), low, high)}
-    ).drop("_scaled", "_guess", "_first", "_n", *names)
+    rows = early_part(df, train_share, keys, idx)
+    model = fit_window_model(rows, value, length, F.col("split") == "train", keys, idx)
+    scored = predict_window_model(rows, model, value, length, keys, idx)
+    return scored.withColumn("actual", F.col(value))
 
 
 def autocorrelation(

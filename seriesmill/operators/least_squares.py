@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.operators.correlation import cross_products
-from seriesmill.operators.order import _join_summary
+from seriesmill.operators.order import join_summary
 
 
 def _solver(size: int):
@@ -70,6 +70,6 @@ def predict_linear(
         coefficients = model.select("coefficients").scalar()
         return df.withColumn(out, linear_value(features, coefficients, intercept))
     found = model.select(*keys, "coefficients")
-    joined = _join_summary(df, found, list(keys))
+    joined = join_summary(df, found, list(keys))
     value = linear_value(features, F.col("coefficients"), intercept)
     return joined.withColumn(out, value).drop("coefficients")

@@ -88,6 +88,31 @@ def over_blocks(
     )
 
 
+def over_series(
+    df: DataFrame,
+    build: Callable[[WindowSpec], dict[str, Column]],
+    order_by: Sequence[str],
+    back: int,
+    ahead: int = 0,
+    keys: Sequence[str] = (),
+    largest: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Window columns per series, for rows that have no position yet.
+
+    The rows per key are counted first. While the largest series fits a block, one
+    shuffle by key does; otherwise the rows get positions and the windows run over
+    blocks, which cut the large series apart.
+    """
+    if keys:
+        size = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if size <= largest:
+            return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order_by)))
+    placed = with_position(df, [*keys, *order_by], "_idx")
+    return over_blocks(
+        placed, build, back, ahead, keys, "_idx", max(largest, back + ahead + 1)
+    ).drop("_idx")
+
+
 def _same_group(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     condition = F.lit(True)
     for name in names:
@@ -95,7 +120,7 @@ def _same_group(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Colu
     return condition
 
 
-def _join_summary(df: DataFrame, summary: DataFrame, names: Sequence[str]) -> DataFrame:
+def join_summary(df: DataFrame, summary: DataFrame, names: Sequence[str]) -> DataFrame:
     """Left join on null-safe equality of ``names``, keeping one copy of them."""
     right = summary.withColumnsRenamed({name: f"_right_{name}" for name in names})
     return df.join(right, _same_group(df, right, names), "left").drop(
@@ -144,7 +169,7 @@ def nearest_known(
         {f"{c}{suffix}": known_so_far(c, inside) for c in columns}
     )
     return (
-        _join_summary(filled, outside, groups)
+        join_summary(filled, outside, groups)
         .withColumns({f"{c}{suffix}": F.coalesce(f"{c}{suffix}", f"_{c}") for c in columns})
         .drop("_block", *[f"_{c}" for c in columns])
     )
@@ -169,7 +194,7 @@ def running_total(
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = df.withColumn("_block", block).withColumn("_inside", F.sum(column).over(inside))
     return (
-        _join_summary(summed, carried, groups)
+        join_summary(summed, carried, groups)
         .withColumn(out, F.coalesce("_carried", F.lit(0)) + F.coalesce("_inside", F.lit(0)))
         .drop("_block", "_inside", "_carried")
     )

@@ -44,7 +44,7 @@ def fixed_predictions(
 
     (model, split, idx, carry.., actual, predicted)
     """
-    rows = temporal_split(with_previous_price(ordered(spark, folder, ["price", *carry])))
+    rows = with_previous_price(temporal_split(ordered(spark, folder, ["price", *carry])))
     mean = rows.where(F.col("split") == "train").agg(F.avg("price")).scalar()
     guesses = [("previous", F.col("previous_price")), ("train_mean", mean)]
     models = F.array(

@@ -148,7 +148,8 @@ def forward_fill(spark, folder):
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def user_series_windows(spark, folder):
-    rows = _events(spark, folder, USER_ORDER)
+    columns = ["event_id", "ts", "user_id", "value"]
+    rows = table(spark, folder, "events").select(*columns)
 
     def build(window):
         return {
@@ -157,7 +158,7 @@ def user_series_windows(spark, folder):
             "value_avg": windows.rolling_mean("value", window),
         }
 
-    made = order.over_blocks(rows, build, back=2, ahead=1, keys=["user_id"])
+    made = order.over_series(rows, build, ["ts", "event_id"], back=2, ahead=1, keys=["user_id"])
     columns = ["value_lag", "value_diff", "value_avg"]
     return rounded(made.select("event_id", *columns), columns)
 
