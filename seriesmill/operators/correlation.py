@@ -7,13 +7,13 @@ from itertools import combinations, combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import numeric_columns
 from seriesmill.functions.moments import pearson
 
-WIDE = 12  # from this many columns on, pairs are summed as matrix products
+WIDE = 6  # from this many columns on, pairs are summed as matrix products
 
 
 def correlation_with(
@@ -24,10 +24,8 @@ def correlation_with(
     Each pair uses the rows where both values are known. The target itself (1.0) is kept.
     """
     columns = list(columns or numeric_columns(df))
-    packed = [
-        F.struct(F.lit(c).alias("column_name"), pearson(c, target).alias("corr")) for c in columns
-    ]
-    return df.agg(F.array(*packed).alias("_all")).select(F.inline("_all"))
+    found = _correlations(df, [(c, target) for c in columns])
+    return found.select(F.col("x").alias("column_name"), "corr")
 
 
 def strongest(correlations: DataFrame, k: int = 10) -> DataFrame:
@@ -44,86 +42,101 @@ def count_above(correlations: DataFrame, target: str, threshold: float = 0.05) -
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(row_name, column_name, corr): the strict lower triangle, pairwise complete."""
     columns = list(columns or numeric_columns(df))
+    found = _correlations(df, [(row, column) for column, row in combinations(columns, 2)])
+    return found.select(F.col("x").alias("row_name"), F.col("y").alias("column_name"), "corr")
+
+
+def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(x, y, corr) for each pair of columns."""
+    columns = list(dict.fromkeys(name for pair in pairs for name in pair))
     if len(columns) >= WIDE:
-        return _wide_matrix(df, columns)
+        return _by_products(df, columns, pairs)
     packed = [
-        F.struct(
-            F.lit(row).alias("row_name"),
-            F.lit(column).alias("column_name"),
-            pearson(row, column).alias("corr"),
-        )
-        for column, row in combinations(columns, 2)
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), pearson(x, y).alias("corr"))
+        for x, y in pairs
     ]
     return df.agg(F.array(*packed).alias("_all")).select(F.inline("_all"))
 
 
-def _wide_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+def _by_products(df: DataFrame, columns: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
     """All pairs by matrix products per Arrow batch; one row per pair and task is shuffled.
 
-    Columns are centred on their overall mean first, which keeps the sums of
-    squares free of cancellation.
+    Each task returns counts, means and centred sums of its rows. They are merged with
+    the means over all tasks, so large offsets do not cancel digits.
     """
-    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
-    centred = df.select(
-        *[(F.col(c).cast("double") - F.lit(means[c] or 0.0)).alias(c) for c in columns]
-    )
-    pairs = list(combinations(range(len(columns)), 2))
-    left = np.array([column for column, _ in pairs])
-    right = np.array([row for _, row in pairs])
-    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    left = np.array([columns.index(x) for x, _ in pairs])
+    right = np.array([columns.index(y) for _, y in pairs])
+    width = len(columns)
+    names = ["n", "mx", "my", "cxx", "cyy", "cxy"]
     schema = "pair int, " + ", ".join(f"{name} double" for name in names)
 
     def products(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = None
+        shift, totals = None, np.zeros((6, len(left)))
         for batch in batches:
             matrix = np.column_stack(
-                [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]
+                [batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)]
             )
             known = ~np.isnan(matrix)
-            values = np.where(known, matrix, 0.0)
             ones = known.astype("float64")
-            squares = values * values
-            both = ones.T @ ones
+            if shift is None:  # any value near the mean will do
+                shift = np.where(known, matrix, 0.0).sum(0) / np.maximum(ones.sum(0), 1)
+            values = np.where(known, matrix - shift, 0.0)
             sums = values.T @ ones  # [i, j]: sum of i where j is known
-            squared = squares.T @ ones
+            squares = (values * values).T @ ones
+            both = ones.T @ ones
             cross = values.T @ values
-            found = np.stack(
-                [
-                    both[left, right],
-                    sums[left, right],
-                    sums[right, left],
-                    squared[left, right],
-                    squared[right, left],
-                    cross[left, right],
-                ]
-            )
-            totals = found if totals is None else totals + found
-        if totals is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(pairs), dtype="int32")), *map(pa.array, totals)],
-                names=["pair", *names],
-            )
+            totals += [
+                both[left, right],
+                sums[left, right],
+                sums[right, left],
+                squares[left, right],
+                squares[right, left],
+                cross[left, right],
+            ]
+        pair = np.flatnonzero(totals[0] > 0)
+        if shift is None or not len(pair):
+            return
+        n, sx, sy, sxx, syy, sxy = totals[:, pair]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(pair.astype("int32")),
+                pa.array(n),
+                pa.array(shift[left[pair]] + sx / n),
+                pa.array(shift[right[pair]] + sy / n),
+                pa.array(np.maximum(sxx - sx * sx / n, 0.0)),
+                pa.array(np.maximum(syy - sy * sy / n, 0.0)),
+                pa.array(sxy - sx * sy / n),
+            ],
+            names=["pair", *names],
+        )
+
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(
+        products, schema
+    )
+    # One row per pair and task: a group is as long as the number of tasks.
+    tasks = Window.partitionBy("pair")
+
+    def overall(mean: str):
+        return F.sum(F.col("n") * F.col(mean)).over(tasks) / F.sum("n").over(tasks)
 
-    summed = (
-        centred.mapInArrow(products, schema)
-        .groupBy("pair")
-        .agg(*[F.sum(name).alias(name) for name in names])
+    off = parts.withColumns(
+        {"dx": F.col("mx") - overall("mx"), "dy": F.col("my") - overall("my")}
     )
-    n = F.nullif(F.col("n"), F.lit(0.0))
-    covariance = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    spread = F.sqrt(
-        F.greatest(F.col("sxx") - F.col("sx") * F.col("sx") / n, F.lit(0.0))
-        * F.greatest(F.col("syy") - F.col("sy") * F.col("sy") / n, F.lit(0.0))
+    merged = off.groupBy("pair").agg(
+        F.sum(F.col("cxx") + F.col("n") * F.col("dx") * F.col("dx")).alias("cxx"),
+        F.sum(F.col("cyy") + F.col("n") * F.col("dy") * F.col("dy")).alias("cyy"),
+        F.sum(F.col("cxy") + F.col("n") * F.col("dx") * F.col("dy")).alias("cxy"),
     )
-    labels = [
-        F.struct(F.lit(columns[row]).alias("row_name"), F.lit(columns[column]).alias("column_name"))
-        for column, row in pairs
-    ]
-    named = F.element_at(F.array(*labels), F.col("pair") + 1)
-    return summed.select(
-        named["row_name"].alias("row_name"),
-        named["column_name"].alias("column_name"),
-        F.try_divide(covariance, F.nullif(spread, F.lit(0.0))).alias("corr"),
+    labels = F.array(
+        *[
+            F.struct(F.lit(i).alias("pair"), F.lit(x).alias("x"), F.lit(y).alias("y"))
+            for i, (x, y) in enumerate(pairs)
+        ]
+    )
+    every = df.sparkSession.range(1).select(F.inline(labels))
+    spread = F.sqrt(F.col("cxx")) * F.sqrt(F.col("cyy"))
+    return every.join(merged, "pair", "left").select(
+        "x", "y", F.try_divide(F.col("cxy"), F.nullif(spread, F.lit(0.0))).alias("corr")
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.session import stage
 
-BLOCK_ROWS = 262_144
+BLOCK_ROWS = 65_536
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in 33 bits
 
 
@@ -137,44 +137,64 @@ def nearest_known(
     block_rows: int = BLOCK_ROWS,
     suffix: str = "_filled",
 ) -> DataFrame:
-    """Fill nulls from the nearest known value at or after (``next``) or before (``last``) the row.
+    """Fill nulls from the nearest known value at or after (``next``) or before (``last``) the row."""
+    if direction not in ("next", "last"):
+        raise ValueError("direction is 'next' or 'last'")
+    return _known(df, columns, direction == "next", keys, idx, block_rows, suffix, own=True)
+
+
+def _known(
+    df: DataFrame,
+    columns: Sequence[str],
+    ahead: bool,
+    keys: Sequence[str],
+    idx: str,
+    block_rows: int,
+    suffix: str,
+    own: bool,
+) -> DataFrame:
+    """Nearest known value in one direction, counting the row's own value if ``own``.
 
     The distance to that value has no bound, so copies at block edges are not
     enough: each block is reduced to the known value nearest to its neighbour, that
-    short table is filled on its own, and rows look up what their block lacks.
+    short table is solved the same way, and rows look up what their block lacks.
     """
-    position = F.col(idx)
-    block = block_of(idx, block_rows)
-    if direction == "next":
-        edge, toward = F.min_by, F.desc
-    elif direction == "last":
-        edge, toward = F.max_by, F.asc
-    else:
-        raise ValueError("direction is 'next' or 'last'")
+    toward = F.desc if ahead else F.asc
 
-    def known_so_far(name: str, window: WindowSpec) -> Column:
-        return F.last(name, ignorenulls=True).over(window)
+    def seen(frame: DataFrame, groups: Sequence[str], position: str, own: bool) -> DataFrame:
+        window = Window.partitionBy(*groups).orderBy(toward(position))
+        window = window.rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+        return frame.withColumns(
+            {f"{c}{suffix}": F.last(c, ignorenulls=True).over(window) for c in columns}
+        )
 
+    if _blocks(df, idx, block_rows) <= 1:
+        return seen(df, keys, idx, own)
     groups = ("_block", *keys)
-    edges = df.groupBy(block.alias("_block"), *keys).agg(
-        *[edge(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in columns]
-    )
-    # One row per block and key: some four million for a key of 10^12 rows.
-    between = Window.partitionBy(*keys).orderBy(toward("_block"))
-    between = between.rowsBetween(Window.unboundedPreceding, -1)
-    outside = edges.select(*groups, *[known_so_far(c, between).alias(f"_{c}") for c in columns])
-    inside = Window.partitionBy(*groups).orderBy(toward(idx))
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = df.withColumn("_block", block).withColumns(
-        {f"{c}{suffix}": known_so_far(c, inside) for c in columns}
+    edge = F.min_by if ahead else F.max_by
+    block = block_of(idx, block_rows).alias("_block")
+    edges = df.groupBy(block, *keys).agg(
+        *[edge(c, F.when(F.col(c).isNotNull(), F.col(idx))).alias(c) for c in columns]
     )
+    outside = _known(
+        edges.withColumnRenamed("_block", "_at"), columns, ahead, keys, "_at", block_rows, "_", False
+    ).select(F.col("_at").alias("_block"), *keys, *[F.col(f"{c}_").alias(f"_{c}") for c in columns])
+    inside = seen(df.withColumn("_block", block), groups, idx, own)
     return (
-        join_summary(filled, outside, groups)
+        join_summary(inside, outside, groups)
         .withColumns({f"{c}{suffix}": F.coalesce(f"{c}{suffix}", f"_{c}") for c in columns})
         .drop("_block", *[f"_{c}" for c in columns])
     )
 
 
+def _blocks(df: DataFrame, idx: str, block_rows: int) -> int:
+    """How many blocks the positions span."""
+    if block_rows < 2:
+        raise ValueError("a block has at least two rows")
+    last = df.agg(F.max(idx)).first()[0]
+    return 0 if last is None else last // block_rows + 1
+
+
 def running_total(
     df: DataFrame,
     column: str,
@@ -184,19 +204,29 @@ def running_total(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Cumulative sum in position order: sums inside blocks plus the totals of earlier blocks."""
-    block = block_of(idx, block_rows)
+    return _total(df, column, out, keys, idx, block_rows, own=True)
+
+
+def _total(df, column, out, keys, idx, block_rows, own) -> DataFrame:
+    def summed(frame: DataFrame, groups: Sequence[str], name: str) -> DataFrame:
+        window = Window.partitionBy(*groups).orderBy(idx)
+        window = window.rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+        return frame.withColumn(name, F.coalesce(F.sum(column).over(window), F.lit(0)))
+
+    if _blocks(df, idx, block_rows) <= 1:
+        return summed(df, keys, out)
     groups = ("_block", *keys)
-    totals = df.groupBy(block.alias("_block"), *keys).agg(F.sum(column).alias("_sum"))
-    between = Window.partitionBy(*keys).orderBy("_block")
-    between = between.rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*groups, F.sum("_sum").over(between).alias("_carried"))
-    inside = Window.partitionBy(*groups).orderBy(idx)
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = df.withColumn("_block", block).withColumn("_inside", F.sum(column).over(inside))
+    earlier, here = f"_earlier_{out}", f"_here_{out}"
+    block = block_of(idx, block_rows).alias("_block")
+    totals = df.groupBy(block, *keys).agg(F.sum(column).alias("_sum"))
+    carried = _total(
+        totals.withColumnRenamed("_block", "_at"), "_sum", earlier, keys, "_at", block_rows, False
+    ).select(F.col("_at").alias("_block"), *keys, earlier)
+    inside = summed(df.withColumn("_block", block), groups, here)
     return (
-        join_summary(summed, carried, groups)
-        .withColumn(out, F.coalesce("_carried", F.lit(0)) + F.coalesce("_inside", F.lit(0)))
-        .drop("_block", "_inside", "_carried")
+        join_summary(inside, carried, groups)
+        .withColumn(out, F.coalesce(earlier, F.lit(0)) + F.col(here))
+        .drop("_block", here, earlier)
     )
 
 

@@ -12,6 +12,7 @@ from seriesmill.operators.features import ORDER_FEATURES, engineer
 from seriesmill.operators.order import with_position
 from seriesmill.operators.splits import temporal_split
 from seriesmill.operators.windows import lagged
+from seriesmill.session import stage
 from seriesmill.sources.tables import ALL_COLUMNS, ORDER_KEYS, observations
 
 
@@ -21,6 +22,11 @@ def ordered(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFra
     return with_position(observations(spark, folder, wanted), ORDER_KEYS)
 
 
+def staged(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+    """The wanted observation columns, joined once, for operators that read them several times."""
+    return stage(observations(spark, folder, columns), "observations")
+
+
 def with_previous_price(df: DataFrame) -> DataFrame:
     """Add ``previous_price``; null on the first row."""
     return lagged(df, ["price"], head="null").withColumnRenamed("price_lag", "previous_price")

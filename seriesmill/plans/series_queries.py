@@ -13,6 +13,7 @@ from seriesmill.plans.inputs import (
     monthly_prices,
     ordered,
     rounded,
+    staged,
 )
 from seriesmill.plans.registry import query
 from seriesmill.sources.tables import observations, table
@@ -460,7 +461,7 @@ def engineered_contract(spark, folder):
     ),
 )
 def min_max_scaling(spark, folder):
-    rows = clean.impute(observations(spark, folder, ["obs_id", "qty", "price"]), ["qty", "price"])
+    rows = clean.impute(staged(spark, folder, ["obs_id", "qty", "price"]), ["qty", "price"])
     qty, price = extremes(rows, "qty"), extremes(rows, "price")
     scaled = min_max_scaled(F.col("price"), *price)
     return rows.select(

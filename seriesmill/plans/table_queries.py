@@ -21,7 +21,7 @@ from seriesmill.plans.inputs import (
     monthly_prices,
     ordered,
     rounded,
-    with_previous_price,
+    staged,
 )
 from seriesmill.plans.registry import query
 from seriesmill.sources.tables import ALL_COLUMNS, ORDER_KEYS, observations
@@ -86,7 +86,7 @@ def first_rows(spark, folder):
     ),
 )
 def describe_measures(spark, folder):
-    found = profile.describe(observations(spark, folder, MEASURES))
+    found = profile.describe(staged(spark, folder, MEASURES))
     return rounded(found, ["mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
@@ -138,8 +138,8 @@ def _histogram_sql(source: str, column: str, bins: int) -> str:
              count(*) AS n
       FROM {source}, edges WHERE {column} IS NOT NULL GROUP BY 1)
     SELECT CAST(b.bin AS INT) AS bin,
-           round(lo + (b.bin - 1) * ((hi - lo) / {bins}), 4) AS lower,
-           round(lo + b.bin * ((hi - lo) / {bins}), 4) AS upper,
+           round(lo + (b.bin - 1) * ((hi - lo) / {bins}), 6) AS lower,
+           round(lo + b.bin * ((hi - lo) / {bins}), 6) AS upper,
            CAST(coalesce(n, 0) AS BIGINT) AS count
     FROM (SELECT unnest(range(1, {bins + 1})) AS bin) b LEFT JOIN placed USING (bin), edges"""
 
@@ -147,7 +147,7 @@ def _histogram_sql(source: str, column: str, bins: int) -> str:
 @query("B8", given("obs", "+" + _histogram_sql("obs", "price", 35)))
 def price_histogram(spark, folder):
     found = profile.histogram(observations(spark, folder, ["price"]), "price", 35)
-    return rounded(found, ["lower", "upper"], 4)
+    return rounded(found, ["lower", "upper"])
 
 
 @query(
@@ -162,7 +162,7 @@ def price_histogram(spark, folder):
 def residual_histogram(spark, folder):
     rows = fixed_predictions(spark, folder).where(F.col("model") == "previous")
     residuals = rows.select(F.round(F.col("actual") - F.col("predicted"), 2).alias("residual"))
-    return rounded(profile.histogram(residuals, "residual", 40), ["lower", "upper"], 4)
+    return rounded(profile.histogram(residuals, "residual", 40), ["lower", "upper"])
 
 
 @query(
@@ -214,7 +214,7 @@ BOX_NUMBERS = ["q1", "median", "q3", "whisker_low", "whisker_high"]
     ),
 )
 def measure_box_plots(spark, folder):
-    return rounded(profile.box_plot(observations(spark, folder, MEASURES), MEASURES), BOX_NUMBERS)
+    return rounded(profile.box_plot(staged(spark, folder, MEASURES), MEASURES), BOX_NUMBERS)
 
 
 @query("B10", given("obs", "+" + _box_sql("SELECT season, price AS v FROM obs", "season")))
@@ -240,7 +240,7 @@ def price_box_plot_by_season(spark, folder):
 def scaled_box_plots(spark, folder):
     from seriesmill.operators.encode import standardised
 
-    rows = clean.impute(observations(spark, folder, MEASURES))
+    rows = clean.impute(staged(spark, folder, MEASURES))
     scaled = rounded(standardised(rows, MEASURES).select(*MEASURES), MEASURES, 9)
     return rounded(profile.box_plot(scaled, MEASURES), BOX_NUMBERS)
 
@@ -306,7 +306,7 @@ def named_columns(spark, folder):
 )
 def mean_imputation(spark, folder):
     columns = ["qty", "disc", "tax", "ext", "n_lines"]
-    return rounded(clean.impute(observations(spark, folder, ["obs_id", *columns]), columns), columns)
+    return rounded(clean.impute(staged(spark, folder, ["obs_id", *columns]), columns), columns)
 
 
 @query(
@@ -338,7 +338,7 @@ def mean_imputation_from_training_rows(spark, folder):
     ),
 )
 def median_and_mode_imputation(spark, folder):
-    rows = observations(spark, folder, ["obs_id", "qty", "n_lines"])
+    rows = staged(spark, folder, ["obs_id", "qty", "n_lines"])
     filled = clean.impute(rows, ["qty"], strategy="median")
     return rounded(clean.impute(filled, ["n_lines"], strategy="mode"), ["qty"])
 
@@ -364,7 +364,7 @@ def interaction_terms(spark, folder):
     from seriesmill.functions.columns import product
 
     rows = clean.impute(
-        observations(spark, folder, ["obs_id", "qty", "disc", "n_lines", "acctbal"]),
+        staged(spark, folder, ["obs_id", "qty", "disc", "n_lines", "acctbal"]),
         ["qty", "disc", "n_lines", "acctbal"],
     )
     terms = {new: product(*pair) for new, pair in ORDER_FEATURES.products.items()}

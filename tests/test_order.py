@@ -94,7 +94,7 @@ def test_keyed_windows_with_a_hot_key(spark, block_rows, largest):
         np.testing.assert_allclose(found["avg"], expected["avg"], atol=1e-12)
 
 
-@pytest.mark.parametrize("block_rows", [3, 50, 100_000])
+@pytest.mark.parametrize("block_rows", [10, 50, 100_000])
 @pytest.mark.parametrize("keys", [[], ["key"]])
 def test_nearest_known(spark, block_rows, keys):
     pdf, frame = keyed_frame(spark, nulls=0.9)
@@ -108,13 +108,13 @@ def test_nearest_known(spark, block_rows, keys):
 
 
 def test_nearest_known_tells_null_keys_apart(spark):
-    rows = [(0, None, 1.0), (1, None, None), (2, "a", None), (3, "a", 5.0)]
+    rows = [(0, None, None), (1, None, 1.0), (2, None, None), (3, "a", None), (4, "a", 5.0)]
     frame = spark.createDataFrame(rows, "idx long, key string, y double")
-    found = order.nearest_known(frame, ["y"], "last", ["key"], block_rows=1)
-    assert values(found, "y_filled") == [1.0, 1.0, None, 5.0]
+    found = order.nearest_known(frame, ["y"], "last", ["key"], block_rows=2)
+    assert values(found, "y_filled") == [None, 1.0, 1.0, None, 5.0]
 
 
-@pytest.mark.parametrize("block_rows", [3, 100_000])
+@pytest.mark.parametrize("block_rows", [10, 100_000])
 def test_running_total(spark, block_rows):
     pdf, frame = keyed_frame(spark)
     placed = order.with_position(frame, ["key", "ts", "id"])
