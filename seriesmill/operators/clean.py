@@ -18,19 +18,26 @@ def fill_values(
     strategy: str = "mean",
     fit_on: Column | None = None,
 ) -> dict[str, float]:
-    """One fill value per column as driver numbers, computed on the rows where ``fit_on`` holds."""
+    """Fill value of each column that has nulls, as driver numbers.
+
+    The statistic is taken over the rows where ``fit_on`` holds (all by default).
+    """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    rows = df if fit_on is None else df.where(fit_on)
+    fitted = {c: F.col(c) if fit_on is None else F.when(fit_on, F.col(c)) for c in columns}
+    wanted = [F.count_if(F.col(c).isNull()).alias(f"{c} nulls") for c in columns]
     if strategy == "mean":
-        found = rows.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
-    elif strategy == "median":
-        middle = exact_quantiles(rows, columns, [0.5]).collect()
+        wanted += [F.avg(fitted[c]).alias(c) for c in columns]
+    found = df.agg(*wanted).first().asDict()
+    lacking = [c for c in columns if found[f"{c} nulls"]]
+    rows = df if fit_on is None else df.where(fit_on)
+    if strategy == "median":
+        middle = exact_quantiles(rows, lacking, [0.5]).collect() if lacking else []
         found = {row["column_name"]: row["value"] for row in middle}
     elif strategy == "mode":
-        found = {c: _mode(rows, c) for c in columns}
-    else:
+        found = {c: _mode(rows, c) for c in lacking}
+    elif strategy != "mean":
         raise ValueError("strategy is 'mean', 'median' or 'mode'")
-    return {c: v for c, v in found.items() if v is not None}
+    return {c: found[c] for c in lacking if found.get(c) is not None}
 
 
 def _mode(df: DataFrame, column: str):
@@ -53,9 +60,9 @@ def impute(
 ) -> DataFrame:
     """Replace nulls of numeric columns by a statistic of the column.
 
-    Filled integer columns become double for the mean and median. Pass
-    ``fit_on`` (for example ``col("idx") < cut``) to keep later rows out of the
-    statistic.
+    Columns without nulls stay as they are; an integer column filled with a mean or
+    median becomes double. Pass ``fit_on`` (for example ``col("idx") < cut``) to keep
+    later rows out of the statistic.
     """
     values = fill_values(df, columns, strategy, fit_on)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})

@@ -127,13 +127,9 @@ def _by_products(df: DataFrame, columns: list[str], pairs: list[tuple[str, str]]
         F.sum(F.col("cyy") + F.col("n") * F.col("dy") * F.col("dy")).alias("cyy"),
         F.sum(F.col("cxy") + F.col("n") * F.col("dx") * F.col("dy")).alias("cxy"),
     )
-    labels = F.array(
-        *[
-            F.struct(F.lit(i).alias("pair"), F.lit(x).alias("x"), F.lit(y).alias("y"))
-            for i, (x, y) in enumerate(pairs)
-        ]
+    every = df.sparkSession.createDataFrame(
+        [(i, x, y) for i, (x, y) in enumerate(pairs)], "pair int, x string, y string"
     )
-    every = df.sparkSession.range(1).select(F.inline(labels))
     spread = F.sqrt(F.col("cxx")) * F.sqrt(F.col("cyy"))
     return every.join(merged, "pair", "left").select(
         "x", "y", F.try_divide(F.col("cxy"), F.nullif(spread, F.lit(0.0))).alias("corr")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.session import stage
 
-EXACT_ROWS = 1_000_000
+EXACT_ROWS = 4_000_000
 _BINS = 4096
 
 
@@ -30,13 +30,14 @@ def exact_quantiles(
     """(by.., column_name, probability, value) with linear interpolation between order statistics.
 
     The built-in exact percentile keeps all distinct values of a group in one
-    task. It is used while no group has more than ``exact_rows`` rows. Beyond that,
+    task. It is used while no group has more than ``exact_rows`` values (rows times
+    columns). Beyond that,
     the wanted order statistics are searched for: counts over equal-width bins
     locate the bin of each rank, the search goes on inside that bin, and what is
     left once a bin is short is ranked directly. Every round moves only bin counts.
     """
     largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= exact_rows:
+    if largest * len(columns) <= exact_rows:
         return _small(df, columns, probabilities, by)
     return _searched(df, columns, probabilities, by, exact_rows)
 

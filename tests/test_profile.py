@@ -149,8 +149,10 @@ def test_imputation(series):
 
 
 def test_nan_counts_as_null(spark):
-    frame = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
-    assert clean.fill_values(fc.nan_to_null(frame)) == {"x": 1.0}
+    frame = spark.createDataFrame([(1.0, 1), (float("nan"), 2)], "x double, n int")
+    cleaned = fc.nan_to_null(frame)
+    assert clean.fill_values(cleaned) == {"x": 1.0}
+    assert dict(clean.impute(cleaned).dtypes) == {"x": "double", "n": "int"}
 
 
 def test_contract(spark, price_table):
