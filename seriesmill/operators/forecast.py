@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators.encode import extremes, min_max_restored, min_max_scaled
 from seriesmill.operators.least_squares import fit_linear, predict_linear
-from seriesmill.operators.order import BLOCK_ROWS, join_summary, over_blocks
+from seriesmill.operators.order import BLOCK_ROWS, join_series, over_blocks
 from seriesmill.operators.windows import lag_names, supervised_windows
+from seriesmill.session import lookup
 
 
 def change_names(lags: int) -> list[str]:
@@ -128,7 +129,7 @@ def early_part(
     place = df.groupBy(*keys).agg(F.min(idx).alias("_first"), F.count(F.lit(1)).alias("_n"))
     early = F.col(idx) - F.col("_first") < F.floor(F.col("_n") * share)
     return (
-        join_summary(df, place, list(keys))
+        join_series(df, lookup(place), keys)
         .withColumn("split", F.when(early, "train").otherwise("val"))
         .drop("_first", "_n")
     )

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.operators.correlation import cross_products
-from seriesmill.operators.order import join_summary
+from seriesmill.operators.order import join_series
+from seriesmill.session import lookup
 
 
 def _solver(size: int):
@@ -69,7 +70,6 @@ def predict_linear(
     if not keys:
         coefficients = model.select("coefficients").scalar()
         return df.withColumn(out, linear_value(features, coefficients, intercept))
-    found = model.select(*keys, "coefficients")
-    joined = join_summary(df, found, list(keys))
+    joined = join_series(df, lookup(model.select(*keys, "coefficients")), keys)
     value = linear_value(features, F.col("coefficients"), intercept)
     return joined.withColumn(out, value).drop("coefficients")

@@ -11,6 +11,7 @@ edges are the same as in one long window.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -113,19 +114,13 @@ def over_series(
     ).drop("_idx")
 
 
-def _same_group(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[f"_right_{name}"])
-    return condition
-
-
-def join_summary(df: DataFrame, summary: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Left join on null-safe equality of ``names``, keeping one copy of them."""
-    right = summary.withColumnsRenamed({name: f"_right_{name}" for name in names})
-    return df.join(right, _same_group(df, right, names), "left").drop(
-        *[f"_right_{name}" for name in names]
+def join_series(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a per-series table; a null key is a series of its own."""
+    right = other.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    condition = reduce(
+        lambda a, b: a & b, [df[key].eqNullSafe(right[f"_right_{key}"]) for key in keys]
     )
+    return df.join(right, condition, "left").drop(*[f"_right_{key}" for key in keys])
 
 
 def nearest_known(
@@ -140,7 +135,17 @@ def nearest_known(
     """Fill nulls from the nearest known value at or after (``next``) or before (``last``) the row."""
     if direction not in ("next", "last"):
         raise ValueError("direction is 'next' or 'last'")
-    return _known(df, columns, direction == "next", keys, idx, block_rows, suffix, own=True)
+    rows, series = _with_series(df, keys)
+    found = _known(rows, columns, direction == "next", series, idx, block_rows, suffix, own=True)
+    return found.drop(*series)
+
+
+def _with_series(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, tuple[str, ...]]:
+    """Pack the keys in one column: structs compare equal field by field, nulls included.
+
+    Window and join then use the same columns, so the join needs no second shuffle.
+    """
+    return (df.withColumn("_series", F.struct(*keys)), ("_series",)) if keys else (df, ())
 
 
 def _known(
@@ -181,7 +186,7 @@ def _known(
     ).select(F.col("_at").alias("_block"), *keys, *[F.col(f"{c}_").alias(f"_{c}") for c in columns])
     inside = seen(df.withColumn("_block", block), groups, idx, own)
     return (
-        join_summary(inside, outside, groups)
+        inside.join(outside, list(groups), "left")
         .withColumns({f"{c}{suffix}": F.coalesce(f"{c}{suffix}", f"_{c}") for c in columns})
         .drop("_block", *[f"_{c}" for c in columns])
     )
@@ -204,7 +209,8 @@ def running_total(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Cumulative sum in position order: sums inside blocks plus the totals of earlier blocks."""
-    return _total(df, column, out, keys, idx, block_rows, own=True)
+    rows, series = _with_series(df, keys)
+    return _total(rows, column, out, series, idx, block_rows, own=True).drop(*series)
 
 
 def _total(df, column, out, keys, idx, block_rows, own) -> DataFrame:
@@ -224,7 +230,7 @@ def _total(df, column, out, keys, idx, block_rows, own) -> DataFrame:
     ).select(F.col("_at").alias("_block"), *keys, earlier)
     inside = summed(df.withColumn("_block", block), groups, here)
     return (
-        join_summary(inside, carried, groups)
+        inside.join(carried, list(groups), "left")
         .withColumn(out, F.coalesce(earlier, F.lit(0)) + F.col(here))
         .drop("_block", here, earlier)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seriesmill.functions.columns import numeric_columns
 from seriesmill.functions.moments import sample_kurtosis, sample_skewness
 from seriesmill.operators.quantiles import exact_quantiles, long_form
+from seriesmill.session import lookup
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -187,7 +188,7 @@ def box_plot(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
         long_form(df, columns, by)
-        .join(boxes, group)
+        .join(lookup(boxes), group)
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

@@ -9,6 +9,7 @@ from seriesmill.operators import aggregates, metrics, splits
 from seriesmill.plans.check_sql import given
 from seriesmill.plans.inputs import fixed_predictions, ordered, rounded
 from seriesmill.plans.registry import query
+from seriesmill.session import lookup
 
 SCORES = ["rmse", "mae", "mape_pct", "r2"]
 _SCORES_SQL = """round(sqrt(avg((actual - predicted) * (actual - predicted))), 6) AS rmse,
@@ -129,7 +130,7 @@ def fold_score_summary(spark, folder):
     guess = (
         rows.where(F.col("role") == "train").groupBy("fold").agg(F.avg("price").alias("predicted"))
     )
-    tested = rows.where(F.col("role") == "test").join(guess, "fold")
+    tested = rows.where(F.col("role") == "test").join(lookup(guess), "fold")
     per_fold = metrics.regression_metrics(tested, ["fold"], actual="price")
     return rounded(metrics.fold_summary(per_fold), ["mean_rmse", "std_rmse"])
 

@@ -8,6 +8,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+LOOKUP_ROWS = 200_000
 
 
 def build_session(app: str = "seriesmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -60,3 +63,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lookup(df: DataFrame, largest: int = LOOKUP_ROWS) -> DataFrame:
+    """Prepare a derived table to be joined to many rows.
+
+    It is computed once and counted. Up to ``largest`` rows it is marked for
+    broadcast, so the many rows are not shuffled onto few keys; a longer one is
+    joined by shuffle, where adaptive execution splits the partitions of hot keys.
+    """
+    kept = stage(df, "lookup")
+    return F.broadcast(kept) if kept.count() <= largest else kept
