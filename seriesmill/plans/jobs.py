@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,15 +50,31 @@ def preprocess(
     return reader.parquet(target) if kind == "parquet" else reader.csv(target, header=True)
 
 
-def _inputs(
-    spark: SparkSession, path: str, spec: FeatureSpec, fraction: float
-) -> tuple[DataFrame, list[str], DataFrame]:
-    """Engineered rows with ``split``, the numeric features, and the monthly series with ``split``."""
-    rows = splits.temporal_split(spark.read.parquet(path), fraction)
-    numeric = numeric_columns(rows, exclude=(spec.target, *spec.not_features))
+@dataclass(frozen=True)
+class Inputs:
+    """Engineered rows and the monthly series, each with ``split`` and its first test position.
+
+    Filters use the position itself, which reaches the parquet scan.
+    """
+
+    rows: DataFrame
+    numeric: list[str]
+    cut: int
+    months: DataFrame
+    month_cut: int
+
+
+def _inputs(spark: SparkSession, path: str, spec: FeatureSpec, fraction: float) -> Inputs:
+    rows = spark.read.parquet(path)
     months = aggregates.monthly_mean(rows, spec.target, spec.year, spec.month)
     months = order.with_position(months, ["month_start"])
-    return rows, numeric, splits.temporal_split(months, fraction)
+    return Inputs(
+        rows=splits.temporal_split(rows, fraction),
+        numeric=numeric_columns(rows, exclude=(spec.target, *spec.not_features)),
+        cut=splits.cut_position(rows.count(), fraction),
+        months=splits.temporal_split(months, fraction),
+        month_cut=splits.cut_position(months.count(), fraction),
+    )
 
 
 def train(
@@ -75,50 +92,28 @@ def train(
     Models see the training part only. ``fit_on_all`` fits them on every row, test
     rows included, for comparison with results obtained that way.
     """
-    rows, numeric, months = _inputs(spark, source, spec, test_fraction)
-    part = None if fit_on_all else F.col("split") == "train"
-    changes = forecast.change_lags(months, "price", LAGS)
-    auto = forecast.fit_autoregression(changes, LAGS, fit_on=part)
+    given = _inputs(spark, source, spec, test_fraction)
+    early = None if fit_on_all else F.col("idx") < given.cut
+    early_months = None if fit_on_all else F.col("idx") < given.month_cut
+    changes = forecast.change_lags(given.months, "price", LAGS)
+    auto = forecast.fit_autoregression(changes, LAGS, fit_on=early_months)
     write_table(auto, f"{models}/autoregression")
-    window = forecast.fit_window_model(months, "price", WINDOW, part)
+    window = forecast.fit_window_model(given.months, "price", WINDOW, early_months)
     write_table(window, f"{models}/window")
 
     def trees():
         return learn.boosted_trees(spec.target, rounds)
 
     for name, regressor in (("linear", learn.linear(spec.target)), ("trees", trees())):
-        learn.save(learn.fit(rows, regressor, numeric, spec.category, part), f"{models}/{name}")
+        fitted = learn.fit(given.rows, regressor, given.numeric, spec.category, early)
+        learn.save(fitted, f"{models}/{name}")
     if not folds:
-        return spark.createDataFrame([], "fold int, n long, rmse double, mae double, "
-                                     "mape_pct double, r2 double")
-    tested = learn.cross_validate(rows, trees, numeric, spec.category, folds)
+        columns = ["n long", *(f"{name} double" for name in ("rmse", "mae", "mape_pct", "r2"))]
+        return spark.createDataFrame([], ", ".join(["fold int", *columns]))
+    tested = learn.cross_validate(given.rows, trees, given.numeric, spec.category, folds)
     return metrics.regression_metrics(tested, ["fold"], actual=spec.target)
 
 
-def _predictions(
-    spark: SparkSession, source: str, models: str, spec: FeatureSpec, fraction: float
-) -> list[DataFrame]:
-    rows, _, months = _inputs(spark, source, spec, fraction)
-    changes = forecast.change_lags(months, "price", LAGS)
-    auto = forecast.predict_autoregression(
-        changes, spark.read.parquet(f"{models}/autoregression"), "price", LAGS
-    )
-    window = forecast.predict_window_model(
-        months, spark.read.parquet(f"{models}/window"), "price", WINDOW
-    )
-    monthly = [("autoregression(5,1,0)", auto), ("window(12)", window)]
-    made = [
-        metrics.as_predictions(found, name, "month", "price", "predicted", split="split")
-        for name, found in monthly
-    ]
-    for name in ("linear", "trees"):
-        scored = learn.score(learn.load(f"{models}/{name}"), rows)
-        made.append(
-            metrics.as_predictions(scored, name, "row", spec.target, "predicted", split="split")
-        )
-    return made
-
-
 def evaluate(
     spark: SparkSession,
     source: str,
@@ -132,11 +127,24 @@ def evaluate(
     Scores are on the test part. ``whole_series`` scores the monthly models on all
     months, as a model fitted on all of them would be.
     """
-    kept = F.col("split") == "test"
-    if whole_series:
-        kept = kept | (F.col("grain") == "month")
-    parts = _predictions(spark, source, models, spec, test_fraction)
-    return metrics.compare_models([part.where(kept) for part in parts]).orderBy("rmse")
+    given = _inputs(spark, source, spec, test_fraction)
+    late_months = F.lit(True) if whole_series else F.col("idx") >= given.month_cut
+    late = given.rows.where(F.col("idx") >= given.cut)
+    changes = forecast.change_lags(given.months, "price", LAGS)
+    auto = forecast.predict_autoregression(
+        changes, spark.read.parquet(f"{models}/autoregression"), "price", LAGS
+    )
+    window = forecast.predict_window_model(
+        given.months, spark.read.parquet(f"{models}/window"), "price", WINDOW
+    )
+    parts = [
+        metrics.as_predictions(found.where(late_months), name, "month", "price", "predicted")
+        for name, found in (("autoregression(5,1,0)", auto), ("window(12)", window))
+    ]
+    for name in ("linear", "trees"):
+        scored = learn.score(learn.load(f"{models}/{name}"), late)
+        parts.append(metrics.as_predictions(scored, name, "row", spec.target, "predicted"))
+    return metrics.compare_models(parts).orderBy("rmse")
 
 
 def error_report(

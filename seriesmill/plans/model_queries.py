@@ -109,6 +109,32 @@ def cross_validation_scores(spark, folder):
     return rounded(metrics.regression_metrics(tested, ["fold"], actual="spend"), SCORES, 4)
 
 
+@query(
+    "G9 G5 D8 E10",
+    given(
+        "obs",
+        """+ spent AS (SELECT *, row_number() OVER (ORDER BY obs_ts, obs_id) - 1 AS i
+                     FROM obs WHERE spend IS NOT NULL),
+        s AS (SELECT count(*) AS n, count(*) // 6 AS size FROM spent),
+        f AS (SELECT CAST(k AS INT) AS fold, n - (6 - k) * size AS a, n - (5 - k) * size AS b
+              FROM (SELECT unnest([1, 2, 3, 4, 5]) AS k), s),
+        fit AS (SELECT fold, regr_slope(spend, n_lines) AS m, regr_intercept(spend, n_lines) AS c
+                FROM spent JOIN f ON i < a GROUP BY fold),
+        e AS (SELECT fold, spend, spend - c - m * n_lines AS error
+              FROM spent JOIN f ON i >= a AND i < b JOIN fit USING (fold))
+        SELECT fold, count(*) AS n, round(sqrt(avg(error * error)), 4) AS rmse,
+               round(avg(abs(error)), 4) AS mae,
+               round(1 - sum(error * error) / (var_pop(spend) * count(*)), 6) AS r2
+        FROM e GROUP BY fold""",
+    ),
+)
+def cross_validation_of_line_count_fit(spark, folder):
+    rows = _spend_rows(spark, folder)
+    tested = learn.cross_validate(rows, lambda: learn.linear("spend"), ["n_lines"])
+    found = metrics.regression_metrics(tested, ["fold"], actual="spend").drop("mape_pct")
+    return rounded(rounded(found, ["rmse", "mae"], 4), ["r2"])
+
+
 @query("G12 G6 D9")
 def early_stopped_trees(spark, folder):
     rows = _spend_rows(spark, folder)
@@ -198,6 +224,38 @@ def user_autoregression_one_lag(spark, folder):
     return rounded(scored.select("event_id", "predicted"), ["predicted"])
 
 
+_CHANGES = ["change", *forecast.change_names(5)]
+
+
+@query(
+    "G10 G5",
+    given(
+        "month_ord",
+        "+ d AS (SELECT idx, (price - lag(price) OVER (ORDER BY idx)) / 10000 AS change"
+        " FROM month_ord), e AS (SELECT change, "
+        + ", ".join(f"lag(change, {k}) OVER (ORDER BY idx) AS change_{k}" for k in range(1, 6))
+        + " FROM d), f AS (SELECT * FROM e WHERE change_5 IS NOT NULL)\n"
+        + "\nUNION ALL\n".join(
+            f"SELECT '{a} {b}' AS pair, count(*) AS n, round(avg({a} * {b}), 6) AS mean_product FROM f"
+            for i, a in enumerate(_CHANGES)
+            for b in _CHANGES[i:]
+        ),
+    ),
+)
+def autoregression_cross_products(spark, folder):
+    rows = _month_changes(spark, folder, 5).select(
+        *[(F.col(c) / 10_000).alias(c) for c in _CHANGES]
+    )
+    pairs = [f"{a} {b}" for i, a in enumerate(_CHANGES) for b in _CHANGES[i:]]
+    names = F.array(*map(F.lit, pairs)).alias("pair")
+    sums = cross_products(rows, _CHANGES)
+    each = sums.select("n", F.explode(F.arrays_zip(names, "gram")).alias("_p"))
+    mean = F.col("_p.gram") / F.col("n")
+    return each.select(
+        F.col("_p.pair").alias("pair"), "n", F.round(mean, 6).alias("mean_product")
+    )
+
+
 @query("G10")
 def monthly_autoregression(spark, folder):
     changes = _month_changes(spark, folder, 5)

@@ -164,16 +164,14 @@ def test_preprocess_equals_array_version(spark, files):
     folder, raw = files
     made = jobs.preprocess(spark, f"{folder}/raw.csv", f"{folder}/whole", fit_on_all=True)
     expected = raw.fillna(raw.mean(numeric_only=True))
-    expected["Previous_Lag"] = expected["Previous_Price"].shift(1).bfill()
-    for new, old in (("Rainfall_3m_avg", "Rainfall"), ("Temperature_3m_avg", "Temperature"),
-                     ("TransportCost_3m_avg", "Transport_Cost")):
-        expected[new] = expected[old].rolling(3, min_periods=1).mean()
-    expected["GDP_Growth_diff"] = expected["GDP_Growth"].diff().bfill()
-    expected["Demand_Trend"] = expected["Demand_Index"].diff().bfill()
-    expected["Rainfall_Demand"] = expected["Rainfall"] * expected["Demand_Index"]
-    expected["Temp_Crop"] = expected["Temperature"] * expected["Crop_Yield"]
-    expected["Rainfall_Temp"] = expected["Rainfall"] * expected["Temperature"]
-    expected["Yield_Demand"] = expected["Crop_Yield"] * expected["Demand_Index"]
+    spec = jobs.PRICE_FEATURES
+    made_of = {
+        **{new: expected[old].shift(1).bfill() for new, old in spec.lags.items()},
+        **{new: expected[old].rolling(3, min_periods=1).mean() for new, old in spec.rolling.items()},
+        **{new: expected[old].diff().bfill() for new, old in spec.differences.items()},
+        **{new: expected[a] * expected[b] for new, (a, b) in spec.products.items()},
+    }
+    expected = expected.assign(**made_of)
     expected = expected.dropna().reset_index(drop=True)
     found = made.toPandas().sort_values("idx").reset_index(drop=True)
     assert found["idx"].tolist() == list(range(len(raw) - 1))
@@ -209,8 +207,8 @@ def test_jobs_from_csv_to_report(spark, files):
 
 def test_model_sees_28_features(spark, files):
     folder, _ = files
-    rows, numeric, _ = jobs._inputs(spark, f"{folder}/engineered", jobs.PRICE_FEATURES, 0.2)
-    model = learn.fit(rows, learn.linear("Food_Price"), numeric, "Season")
+    given = jobs._inputs(spark, f"{folder}/engineered", jobs.PRICE_FEATURES, 0.2)
+    model = learn.fit(given.rows, learn.linear("Food_Price"), given.numeric, "Season")
     assert len(learn.feature_names(model)) == 28
 
 
