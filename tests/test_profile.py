@@ -76,6 +76,8 @@ def test_density(series):
     expected = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
     np.testing.assert_allclose(found["x"], grid, rtol=1e-9)
     np.testing.assert_allclose(found["density"], expected, rtol=1e-9)
+    merged = profile.density(series(x=list(map(float, x))), "x", cells=2000).orderBy("point").toPandas()
+    np.testing.assert_allclose(merged["density"], expected, rtol=1e-4)
     assert profile.density(series(x=[1, 1]), "x").count() == 0
 
 
