@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import half_even
+from seriesmill.operators.quantiles import exact_quantiles
 
 # Fixed value: smallest denominator of a percentage error (double precision machine epsilon).
 EPSILON = 2.220446049250313e-16
@@ -118,8 +119,10 @@ def generalisation_gap(per_split: DataFrame, by: Sequence[str] = ("model",)) ->
 
 def error_by_level(metrics: DataFrame, levels: Sequence[float]) -> DataFrame:
     """Add (level, error_pct): the RMSE as a percentage of each reference level."""
-    return metrics.withColumn("level", F.explode(F.array(*[F.lit(float(v)) for v in levels]))
-    ).withColumn("error_pct", F.col("rmse") / F.col("level") * 100)
+    each = F.explode(F.array(*[F.lit(float(v)) for v in levels]))
+    return metrics.withColumn("level", each).withColumn(
+        "error_pct", F.col("rmse") / F.col("level") * 100
+    )
 
 
 def improvement_over(metrics: DataFrame, base: str) -> DataFrame:
@@ -134,8 +137,6 @@ def prediction_intervals(
     fitted: DataFrame, scored: DataFrame, coverage: float = 0.9, predicted: str = "predicted"
 ) -> DataFrame:
     """Add ``lower`` and ``upper`` to ``scored`` from the residual quantiles of ``fitted``."""
-    from seriesmill.operators.quantiles import exact_quantiles
-
     tails = [(1 - coverage) / 2, (1 + coverage) / 2]
     found = exact_quantiles(fitted, ["residual"], tails).collect()
     offset = {row["probability"]: row["value"] for row in found}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesmill.operators import clean, order, splits, windows
-from seriesmill.operators.encode import extremes, min_max_restored, min_max_scaled
+from seriesmill.operators.aggregates import population_shift
+from seriesmill.operators.encode import extremes, min_max_restored, min_max_scaled, standardised
 from seriesmill.operators.features import ORDER_FEATURES
 from seriesmill.plans.check_sql import given
 from seriesmill.plans.inputs import (
@@ -486,8 +487,6 @@ def min_max_scaling(spark, folder):
     ),
 )
 def standard_scaling(spark, folder):
-    from seriesmill.operators.encode import standardised
-
     rows = clean.impute(ordered(spark, folder, ["qty", "price"]), ["qty"])
     cut = splits.cut_position(rows.count(), 0.2)
     scaled = standardised(rows, ["qty", "price"], fit_on=F.col("idx") < cut)
@@ -512,8 +511,6 @@ def standard_scaling(spark, folder):
     ),
 )
 def price_shift_by_year(spark, folder):
-    from seriesmill.operators.aggregates import population_shift
-
     rows = observations(spark, folder, ["year", "price"])
     return rounded(population_shift(rows, "price", "year", "1995"), ["psi"])
 

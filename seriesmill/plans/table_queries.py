@@ -8,12 +8,14 @@ from seriesmill.functions.columns import (
     half_even,
     month_start,
     numeric_columns,
+    product,
     right_closed_bin,
     without_step_prefix,
 )
 from seriesmill.operators import aggregates, clean, correlation, profile
-from seriesmill.operators.encode import one_hot
+from seriesmill.operators.encode import label_codes, one_hot, standardised
 from seriesmill.operators.features import ORDER_FEATURES
+from seriesmill.operators.splits import cut_position
 from seriesmill.plans.check_sql import given
 from seriesmill.plans.inputs import (
     engineered,
@@ -238,8 +240,6 @@ def price_box_plot_by_season(spark, folder):
     ),
 )
 def scaled_box_plots(spark, folder):
-    from seriesmill.operators.encode import standardised
-
     rows = clean.impute(staged(spark, folder, MEASURES))
     scaled = rounded(standardised(rows, MEASURES).select(*MEASURES), MEASURES, 9)
     return rounded(profile.box_plot(scaled, MEASURES), BOX_NUMBERS)
@@ -318,8 +318,6 @@ def mean_imputation(spark, folder):
     ),
 )
 def mean_imputation_from_training_rows(spark, folder):
-    from seriesmill.operators.splits import cut_position
-
     rows = ordered(spark, folder, ["qty"])
     cut = cut_position(rows.count(), 0.2)
     return rounded(clean.impute(rows, ["qty"], fit_on=F.col("idx") < cut), ["qty"]).select(
@@ -361,8 +359,6 @@ def complete_rows(spark, folder):
     ),
 )
 def interaction_terms(spark, folder):
-    from seriesmill.functions.columns import product
-
     rows = clean.impute(
         staged(spark, folder, ["obs_id", "qty", "disc", "n_lines", "acctbal"]),
         ["qty", "disc", "n_lines", "acctbal"],
@@ -467,11 +463,13 @@ def season_dummies(spark, folder):
 
 @query(
     "P3",
-    given("obs", "SELECT obs_id, CAST(dense_rank() OVER (ORDER BY season) - 1 AS INT) AS season_code FROM obs"),
+    given(
+        "obs",
+        """SELECT obs_id, CAST(dense_rank() OVER (ORDER BY season) - 1 AS INT) AS season_code
+           FROM obs""",
+    ),
 )
 def season_label_codes(spark, folder):
-    from seriesmill.operators.encode import label_codes
-
     rows = observations(spark, folder, ["obs_id", "season"])
     return label_codes(rows, "season", "season_code").select("obs_id", "season_code")
 
@@ -569,7 +567,13 @@ RAW_NUMBERS = ["year", "month", "day", *MEASURES]
 
 @query(
     "E5",
-    given("obs", _per_column("SELECT '{c}' AS column_name, round(corr({c}, spend), 6) AS corr FROM obs", [*RAW_NUMBERS, "spend"])),
+    given(
+        "obs",
+        _per_column(
+            "SELECT '{c}' AS column_name, round(corr({c}, spend), 6) AS corr FROM obs",
+            [*RAW_NUMBERS, "spend"],
+        ),
+    ),
 )
 def correlation_with_spend(spark, folder):
     rows = observations(spark, folder, [*RAW_NUMBERS, "spend"])
