@@ -7,9 +7,9 @@ Jaccard similarity of at least t share one of the first ``n - ceil(t n) + 1`` sh
 their place, so size and place bound the overlap, and pairs below the bound are discarded. For pairs left the
 overlap is accumulated over all columns and the threshold tested in integers.
 
-A column that many rows share is not multiplied out: every row is compared with a pivot of the column, what
-links is one class, and later rounds compare only rows of different classes, until no such pair of any
-column is left. Classes and verified links therefore are those of the whole product.
+A crowded column is not multiplied out at once: its rows are first compared with a pivot, the row with the
+fewest rarer shingles of its own; what links is one class, and further pivots follow while classes merge. The
+product then leaves out pairs of one class. Classes and verified links therefore are those of the whole product.
 
 Nulls and texts without words have an empty set and link with nothing. Equal documents get equal rows. A null
 ``doc_id`` is dropped; rows that repeat a ``doc_id`` with its text stand or go together. Extra columns are ignored.
@@ -30,14 +30,16 @@ from seriesmill.session import lookup, stage
 
 SIZE = 5
 PERCENT = 80
-#: Counters of the sketch that orders shingles by rarity: 2 ** 20, whatever the input. Any order gives the same
+#: Counters of the sketch that orders shingles by rarity: 2 ** 22, whatever the input. Any order gives the same
 #: result; the sketch decides only how many rows meet in a column.
-SKETCH_BITS = 20
-SLICE = 1 << 14
+SKETCH_BITS = 22
+SLICE = 1 << 16
 ENTRIES_PER_BUCKET = 1_000_000
 #: Shingles are compared by hashes of so many bits; the rest of a word holds the text's place in its chunk.
 HASH_BITS = np.uint64(50)
-PIVOT_ROUNDS = 4
+#: Columns of more rows get pivots before the product, in so many rounds at most (whatever is left, the product compares).
+CROWDED = 32
+PIVOT_ROUNDS = 6
 
 
 def sets_of(texts: B.Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,17 +70,15 @@ def _describe(size: int):
                 ids = batch.column("doc_id").slice(texts.first, len(sizes))
                 nulls = pa.nulls(len(sizes), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sizes), B.as_long(marks), nulls, pa.nulls(len(sizes), pa.list_(pa.int32()))],
+                    [ids, pa.array(sizes), B.as_long(marks), nulls, pa.nulls(len(sizes), pa.binary())],
                     ["doc_id", "n_shingles", "mark", "slice", "counts"],
                 )
         if counters.any():
-            cut = len(counters) // SLICE
-            counts = pa.ListArray.from_arrays(
-                pa.array(np.arange(cut + 1) * SLICE, pa.int32()), pa.array(counters.astype(np.int32))
-            )
-            nulls = pa.nulls(cut, pa.int64())
+            parts = np.minimum(counters, 0xFFFFFFFF).astype(np.uint32).reshape(-1, SLICE)
+            counts = pa.array([pa.compress(x.tobytes(), "zstd", asbytes=True) for x in parts], pa.binary())
+            nulls = pa.nulls(len(parts), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [nulls, nulls, nulls, pa.array(np.arange(cut)), counts], ["doc_id", "n_shingles", "mark", "slice", "counts"]
+                [nulls, nulls, nulls, pa.array(np.arange(len(parts))), counts], ["doc_id", "n_shingles", "mark", "slice", "counts"]
             )
 
     return run
@@ -90,16 +90,17 @@ def sketch_cell(hashes: np.ndarray) -> np.ndarray:
 
 def _add_counts(key, table):
     total = np.zeros(SLICE, np.int64)
-    for part in table.column("counts").chunks:
-        total += part.flatten().to_numpy().reshape(-1, SLICE).sum(axis=0)
-    # Half an octave is one class, so a class fits six bits.
-    classes = np.minimum(np.floor(2 * np.log2(total + 1)), 63).astype(np.uint8)
+    for part in table.column("counts").to_pylist():
+        total += np.frombuffer(pa.decompress(part, 4 * SLICE, "zstd"), np.uint32)
+    # Cells hold many rare shingles each; what counts is how far a cell stands out of that noise.
+    mean = total.mean()
+    classes = np.minimum(4 * np.log2(1 + np.maximum(0, total - mean) / np.sqrt(mean + 1)), 63).astype(np.uint8)
     return pa.table({"slice": pa.array([key[0].as_py()]), "classes": pa.array([classes.tobytes()], pa.binary())})
 
 
 def describe(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, mark) of every document, and the rarity classes of the sketch (a fixed 1 MB)."""
-    schema = "doc_id long, n_shingles long, mark long, slice long, counts array<int>"
+    """(doc_id, n_shingles, mark) of every document, and the rarity classes of the sketch (a fixed 4 MB)."""
+    schema = "doc_id long, n_shingles long, mark long, slice long, counts binary"
     source = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     both = stage(source.mapInArrow(_describe(size), schema), "shingle-sets")
     sketch = both.filter("slice IS NOT NULL").groupBy("slice").applyInArrow(_add_counts, "slice long, classes binary")
@@ -198,6 +199,57 @@ def _full_sets(size: int):
     return run
 
 
+def _sets_for(docs: DataFrame, members: DataFrame, marks: DataFrame, size: int) -> DataFrame:
+    """(mark, hashes) of the named sets, from one text each."""
+    bearers = members.join(marks.distinct(), "mark", "left_semi").groupBy("mark").agg(F.min("doc_id").alias("doc_id"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(lookup(bearers), "doc_id")
+    return stage(texts.select("mark", "text").mapInArrow(_full_sets(size), "mark long, hashes array<long>"), "full-sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("mark")).unionByName(pairs.select(F.col("b").alias("mark")))
+
+
+def _labelled(columns: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The columns with the class of each row, and only those that more than one class share."""
+    if links is None:
+        return columns.withColumn("label", F.col("mark"))
+    labels = stage(components(links), "labels")
+    labelled = columns.join(labels, columns.mark == labels.node, "left").select(
+        *columns.columns, F.coalesce("component", "mark").alias("label")
+    )
+    spread = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return stage(labelled.join(spread.filter("low < high"), "shingle", "left_semi"), "open-columns")
+
+
+def _with_pivots(columns: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each row with the pivot of its column; a later turn takes another pivot among the plainest rows."""
+    row = ("mark", "n", "place", "label")
+    plain = F.col("place") if turn == 0 else F.floor(F.expr("4 * place / n"))
+    rank = F.struct(plain, F.xxhash64("mark", F.lit(turn)), F.col("mark"))
+    pivot = columns.groupBy("shingle").agg(F.min_by(F.struct(*row), rank).alias("pivot"))
+    left = pivot.select("shingle", *[F.col(f"pivot.{c}").alias(f"{c}_a") for c in row])
+    both = left.join(columns.select("shingle", *[F.col(c).alias(f"{c}_b") for c in row]), "shingle")
+    both = both.filter("label_a <> label_b").filter(_possible(percent))
+    return both.select(F.least("mark_a", "mark_b").alias("a"), F.greatest("mark_a", "mark_b").alias("b")).distinct()
+
+
+def _product(columns: DataFrame, percent: int) -> DataFrame:
+    """Overlap of the needed columns for every two rows of different classes, less what the bounds exclude.
+
+    What two sets share outside these columns lies beyond the needed part of one of them, so the larger rest
+    bounds it.
+    """
+    row = ("mark", "n", "place", "label")
+    left = columns.select("shingle", *[F.col(c).alias(f"{c}_a") for c in row])
+    right = columns.select("shingle", *[F.col(c).alias(f"{c}_b") for c in row])
+    both = left.join(right, "shingle").filter("label_a <> label_b AND mark_a < mark_b").filter(_possible(percent))
+    rest = [F.ceil(F.col(f"n_{x}") * percent / 100) - 1 for x in "ab"]
+    counted = both.groupBy(F.col("mark_a").alias("a"), F.col("mark_b").alias("b"), "n_a", "n_b").agg(F.count("*").alias("shared"))
+    bound = F.col("shared") + F.greatest(*rest)
+    return counted.filter(F.lit(100 + percent) * bound >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
 def similar_sets(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The documents with their sets (doc_id, n_shingles, mark) and verified links between sets.
 
@@ -214,59 +266,24 @@ def similar_sets(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     columns = entries.groupBy("bucket").applyInArrow(_columns, "shingle long, mark long, n int, place int")
     columns = stage(columns, "shared-columns")
 
-    # One text for each set that shares a column.
-    wanted = columns.select("mark").distinct()
-    bearers = members.groupBy("mark").agg(F.min("doc_id").alias("doc_id")).join(wanted, "mark", "left_semi")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(lookup(bearers), "doc_id")
-    sets = texts.select("mark", "text").mapInArrow(_full_sets(size), "mark long, hashes array<long>")
-    sets = stage(sets.dropDuplicates(["mark"]), "full-sets")
-
-    open_columns, links, tested = columns.select("shingle", "mark", "n", "place"), None, None
-    labelled, turn, last = open_columns.withColumn("label", F.col("mark")), 0, False
-    while True:
-        pairs = _pairs(labelled, turn, last).filter(_possible(percent))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = stage(_verified(pairs, sets, percent), "verified")
-        tested = found.select("a", "b") if tested is None else tested.unionByName(found.select("a", "b"))
-        fresh = found.filter("linked").select("a", "b", "overlap")
+    crowds = columns.groupBy("shingle").count().filter(F.col("count") > CROWDED).select("shingle")
+    crowded = stage(columns.join(crowds, "shingle", "left_semi"), "crowded-columns")
+    links, sets = None, None
+    for turn in range(PIVOT_ROUNDS):
+        open_columns = _labelled(crowded, links)
+        held = open_columns.groupBy("shingle", "label").count().groupBy("shingle")
+        held = held.agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("count")).alias("inside"))
+        work = held.agg(F.sum(F.expr("rows * rows - inside")).alias("pairs"), F.sum("rows").alias("rows")).head()
+        if (work["pairs"] or 0) <= CROWDED * (work["rows"] or 0):
+            break
+        pairs = stage(_with_pivots(open_columns, turn, percent), "pivot-pairs")
+        sets = sets or _sets_for(docs, members, crowded.select("mark"), size)
+        fresh = stage(_verified(pairs, sets, percent), "verified").filter("linked").select("a", "b", "overlap")
         links = fresh if links is None else links.unionByName(fresh)
-        if last:
-            return members, links
-        turn += 1
-        labels = stage(components(links), "labels")
-        labelled = open_columns.join(labels, open_columns.mark == labels.node, "left").select(
-            *open_columns.columns, F.coalesce("component", "mark").alias("label")
-        )
-        # A column of two rows is settled by the first round, one of a single class by its links.
-        spread = labelled.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
-        spread = spread.filter("low < high AND rows > 2").select("shingle", "rows")
-        labelled = stage(labelled.drop("rows").join(spread, "shingle"), "open-columns")
-        open_columns = labelled.drop("label", "rows")
-        work = labelled.agg(F.sum(F.expr("(rows - 1) / 2")).alias("pairs"), F.count("*").alias("rows")).head()
-        if not work["rows"]:
-            return members, links
-        # The last round compares all that is left; it comes as soon as that is about as much as a round of pivots.
-        last = turn == PIVOT_ROUNDS or work["pairs"] <= 8 * work["rows"]
-
-
-def _pairs(columns: DataFrame, turn: int, last: bool) -> DataFrame:
-    """Pairs of a round: every row with a pivot of its column, at last every two rows of different classes.
-
-    The first pivot is the smallest set, later ones are taken by a hash that changes with the round.
-    """
-    row = ("mark", "n", "place", "label")
-    right = columns.select("shingle", *[F.col(c).alias(f"{c}_b") for c in row])
-    if not last:
-        rank = F.struct(F.col("n") if turn == 0 else F.xxhash64("mark", F.lit(turn)), F.col("mark"))
-        pivot = columns.groupBy("shingle").agg(F.min_by(F.struct(*row), rank).alias("pivot"))
-        left = pivot.select("shingle", *[F.col(f"pivot.{c}").alias(f"{c}_a") for c in row])
-        both = left.join(right, "shingle").filter("label_a <> label_b")
-    else:
-        left = columns.select("shingle", *[F.col(c).alias(f"{c}_a") for c in row])
-        both = left.join(right, "shingle").filter("label_a <> label_b AND mark_a < mark_b")
-    return both.withColumnsRenamed({"mark_a": "a", "mark_b": "b"})
+    pairs = stage(_product(_labelled(columns, links), percent), "pairs")
+    fresh = stage(_verified(pairs, _sets_for(docs, members, _ends(pairs), size), percent), "verified")
+    fresh = fresh.filter("linked").select("a", "b", "overlap")
+    return members, fresh if links is None else links.unionByName(fresh)
 
 
 def near_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
