@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import ngram_join
+from seriesmill.llm import ngram_join, repeats
 from seriesmill.llm.registry import ORACLES, QUERIES, query, table
 
 
 @query()
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_classes(table(spark, folder, "documents"))
+
+
+@query()
+def op5_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.report(table(spark, folder, "documents"))
