@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import ngram_join, repeats
+from seriesmill.llm import conversations, decontaminate, mixing, ngram_join, repeats, urls
 from seriesmill.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -16,3 +16,23 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.report(table(spark, folder, "documents"))
+
+
+@query()
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op8_marginal_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(table(spark, folder, "documents"))
+
+
+@query()
+def op2_url_template_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.report(table(spark, folder, "pages"))
+
+
+@query(conversations.SQL)
+def op7_snapshot_collapse(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.rendered(table(spark, folder, "conversations"))
