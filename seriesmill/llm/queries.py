@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import conversations, decontaminate, mixing, ngram_join, repeats, urls
+from seriesmill.llm import conversations, decontaminate, langid, lm, mixing, ngram_join, quality, repeats, urls, vectors
 from seriesmill.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -36,3 +36,23 @@ def op2_url_template_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query(conversations.SQL)
 def op7_snapshot_collapse(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.rendered(table(spark, folder, "conversations"))
+
+
+@query()
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.report(table(spark, folder, "documents"))
+
+
+@query()
+def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.linked(table(spark, folder, "embeddings"))
+
+
+@query()
+def op4_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op6_ngram_trie_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(table(spark, folder, "documents"))
