@@ -35,9 +35,9 @@ def monthly_mean(
     every = F.sequence(F.min("month_start"), F.max("month_start"), F.expr("interval 1 month"))
     calendar = months.groupBy(*keys).agg(every.alias("_all"))
     calendar = calendar.select(*keys, F.explode("_all").alias("month_start"))
-    return calendar.join(months, [*keys, "month_start"], "left").withColumn(
-        "n", F.coalesce("n", F.lit(0))
-    )
+    empty = calendar.select(*keys, "month_start", F.lit(None).cast("double").alias("price"), F.lit(0).cast("long").alias("n"))
+    # Grouping keeps the months of a null key, which a join on equal keys would not.
+    return months.unionByName(empty).groupBy(*keys, "month_start").agg(F.max("price").alias("price"), F.max("n").alias("n"))
 
 
 def series_extent(months: DataFrame) -> DataFrame:

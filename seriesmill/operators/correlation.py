@@ -49,6 +49,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """(x, y, corr) for each pair of columns."""
     columns = list(dict.fromkeys(name for pair in pairs for name in pair))
+    # NaN is unknown, whichever way the pairs are summed.
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     if len(columns) >= WIDE:
         return _by_products(df, columns, pairs)
     packed = [

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.operators.order import with_position
+from seriesmill.session import lookup
+
 MAX_CATEGORIES = 1000
 
 
 def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct known values; an error beyond ``limit`` of them."""
+    """Sorted distinct known values, for one column each; an error beyond ``limit`` of them (a parameter)."""
     found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1)
     values = sorted(row[0] for row in found.collect())
     if len(values) > limit:
@@ -44,11 +47,11 @@ def one_hot(
 
 
 def label_codes(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Add the alphabetical rank of the category, from 0."""
-    code: Column = F.lit(None).cast("int")
-    for i, value in enumerate(categories(df, column)):
-        code = F.when(F.col(column) == value, i).otherwise(code)
-    return df.withColumn(out, code)
+    """Add the alphabetical rank of the category, from 0; any number of categories, null for null."""
+    values = df.select(F.col(column).alias("_category")).where(F.col(column).isNotNull()).distinct()
+    ranks = with_position(values, ["_category"], "_code").select("_category", F.col("_code").cast("int").alias(out))
+    ranks = lookup(ranks)
+    return df.join(ranks, df[column] == ranks["_category"], "left").drop("_category")
 
 
 def _fitted_on(df: DataFrame, fit_on: Column | None) -> DataFrame:

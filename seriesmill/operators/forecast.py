@@ -8,7 +8,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from seriesmill.operators.encode import extremes, min_max_restored, min_max_scaled
+from seriesmill.operators.encode import extremes
 from seriesmill.operators.least_squares import fit_linear, predict_linear
 from seriesmill.operators.order import BLOCK_ROWS, join_series, over_blocks
 from seriesmill.operators.windows import lag_names, supervised_windows
@@ -86,11 +86,19 @@ def fit_window_model(
 ) -> DataFrame:
     """(keys.., n, coefficients, low, high): regression of a value on the ``length`` before it.
 
-    The series is min-max scaled by the extremes of the rows where ``fit_on`` holds,
-    common to all series; each series has its own coefficients.
+    Each series is min-max scaled by its own extremes in the rows where ``fit_on`` holds, and has its
+    own coefficients.
     """
+    if keys:
+        seen = df if fit_on is None else df.where(fit_on)
+        bounds = lookup(seen.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high")))
+        rows = _scaled_windows(join_series(df, bounds, keys), value, length, keys, idx)
+        rows = rows if fit_on is None else rows.where(fit_on)
+        fitted = join_series(fit_linear(rows, lag_names(length), "_scaled", keys), bounds, keys)
+        return fitted.withColumnsRenamed({"_low": "low", "_high": "high"})
     low, high = extremes(df, value, fit_on)
-    rows = _scaled_windows(df, value, low, high, length, keys, idx)
+    rows = df.withColumns({"_low": F.lit(low), "_high": F.lit(high)})
+    rows = _scaled_windows(rows, value, length, keys, idx)
     rows = rows if fit_on is None else rows.where(fit_on)
     fitted = fit_linear(rows, lag_names(length), "_scaled", keys)
     return fitted.withColumns({"low": F.lit(low), "high": F.lit(high)})
@@ -106,16 +114,27 @@ def predict_window_model(
     out: str = "predicted",
 ) -> DataFrame:
     """Add the prediction in the unit of ``value``; rows without a full window are dropped."""
-    scale = model.select("low", "high").first()
-    low, high = (scale["low"], scale["high"]) if scale else (0.0, 1.0)
-    rows = _scaled_windows(df, value, low, high, length, keys, idx)
+    if keys:
+        bounds = model.select(*keys, F.col("low").alias("_low"), F.col("high").alias("_high"))
+        scaled = join_series(df, lookup(bounds), keys)
+    else:
+        scale = model.select("low", "high").first()
+        low, high = (scale["low"], scale["high"]) if scale else (0.0, 1.0)
+        scaled = df.withColumns({"_low": F.lit(low), "_high": F.lit(high)})
+    rows = _scaled_windows(scaled, value, length, keys, idx)
     scored = predict_linear(rows, model, lag_names(length), "_guess", keys=keys)
-    restored = min_max_restored(F.col("_guess"), low, high)
-    return scored.withColumn(out, restored).drop("_scaled", "_guess", *lag_names(length))
+    restored = F.col("_guess") * _range() + F.col("_low")
+    return scored.withColumn(out, restored).drop("_scaled", "_guess", "_low", "_high", *lag_names(length))
 
 
-def _scaled_windows(df, value, low, high, length, keys, idx) -> DataFrame:
-    scaled = df.withColumn("_scaled", min_max_scaled(F.col(value), low, high))
+def _range() -> Column:
+    """Extent of a series; 1 for a constant one."""
+    extent = F.col("_high") - F.col("_low")
+    return F.when(extent == 0, 1.0).otherwise(extent)
+
+
+def _scaled_windows(df, value, length, keys, idx) -> DataFrame:
+    scaled = df.withColumn("_scaled", (F.col(value) - F.col("_low")) / _range())
     return supervised_windows(scaled, ["_scaled"], length, idx=idx, keys=keys)
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import (
     ElementwiseProduct,
+    MinMaxScaler,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
@@ -32,10 +33,17 @@ def linear(target: str) -> LinearRegression:
 
 
 def boosted_trees(
-    target: str, rounds: int = 100, validation: str | None = None, **settings
+    target: str,
+    rounds: int = 100,
+    validation: str | None = None,
+    min_gain: float = 0.0,
+    **settings,
 ) -> GBTRegressor:
     """Boosted trees of depth 3 that look at half of the features per split.
 
+    ``min_gain`` is the variance a split has to remove from its node; it is the nearest setting to a
+    minimum loss reduction, but in another unit.
+
     With ``validation``, a boolean column marks the rows that decide when to stop early.
     """
     chosen = {
@@ -43,6 +51,7 @@ def boosted_trees(
         "stepSize": 0.3,
         "featureSubsetStrategy": "0.5",
         "seed": 42,
+        "minInfoGain": min_gain,
         **settings,
     }
     trees = GBTRegressor(featuresCol=FEATURES, labelCol=target, maxIter=rounds, **chosen)
@@ -50,10 +59,16 @@ def boosted_trees(
 
 
 def pipeline_for(
-    regressor: Estimator, numeric: Sequence[str], category: str | None, rows: int
+    regressor: Estimator,
+    numeric: Sequence[str],
+    category: str | None,
+    rows: int,
+    scale: str = "z",
 ) -> Pipeline:
     """Unfitted pipeline: dummies of ``category`` (first one dropped) and z-scores of ``numeric``.
 
+    ``scale="minmax"`` maps the numeric columns to 0..1 by the extremes of the training rows instead.
+
     The scaler divides by the sample deviation; the factor after it turns that into the
     population deviation for ``rows`` training rows. An unknown category is an error.
     """
@@ -71,8 +86,15 @@ def pipeline_for(
         ]
         parts.append(dummies)
     factor = (rows / (rows - 1)) ** 0.5 if rows > 1 else 1.0
+    numbers = VectorAssembler(inputCols=list(numeric), outputCol="_numeric")
+    if scale == "minmax":
+        scaler = MinMaxScaler(inputCol="_numeric", outputCol="_scaled")
+        assembled = VectorAssembler(inputCols=[*parts, "_scaled"], outputCol=FEATURES)
+        return Pipeline(stages=[*stages, numbers, scaler, assembled, regressor])
+    if scale != "z":
+        raise ValueError("scale is 'z' or 'minmax'")
     stages += [
-        VectorAssembler(inputCols=list(numeric), outputCol="_numeric"),
+        numbers,
         StandardScaler(inputCol="_numeric", outputCol="_sample_z", withMean=True, withStd=True),
         ElementwiseProduct(
             scalingVec=Vectors.dense([factor] * len(numeric)),
@@ -91,10 +113,11 @@ def fit(
     numeric: Sequence[str],
     category: str | None = None,
     fit_on: Column | None = None,
+    scale: str = "z",
 ) -> PipelineModel:
     """Fit on the rows where ``fit_on`` holds (all rows by default)."""
     rows = df if fit_on is None else df.where(fit_on)
-    return pipeline_for(regressor, numeric, category, rows.count()).fit(rows)
+    return pipeline_for(regressor, numeric, category, rows.count(), scale).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:

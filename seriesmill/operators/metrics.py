@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import half_even
@@ -127,7 +127,8 @@ def error_by_level(metrics: DataFrame, levels: Sequence[float]) -> DataFrame:
 
 def improvement_over(metrics: DataFrame, base: str) -> DataFrame:
     """Add ``improvement_pct``: how far the RMSE is below that of model ``base``."""
-    base_rmse = metrics.where(F.col("model") == base).select(F.max("rmse")).scalar()
+    # One row per model: a handful, so one task is enough and nothing is evaluated twice.
+    base_rmse = F.max(F.when(F.col("model") == base, F.col("rmse"))).over(Window.partitionBy())
     return metrics.withColumn(
         "improvement_pct", F.try_divide(base_rmse - F.col("rmse"), base_rmse) * 100
     )

@@ -11,6 +11,7 @@ from seriesmill.session import stage
 
 EXACT_ROWS = 4_000_000
 _BINS = 4096
+_LARGEST = 1.7976931348623157e308
 
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -36,10 +37,18 @@ def exact_quantiles(
     locate the bin of each rank, the search goes on inside that bin, and what is
     left once a bin is short is ranked directly. Every round moves only bin counts.
     """
+    # NaN is no value here, as null is not.
+    known = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    df = df.select(*by, *[value.alias(c) for c, value in known.items()])
     largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
     if largest * len(columns) <= exact_rows:
         return _small(df, columns, probabilities, by)
-    return _searched(df, columns, probabilities, by, exact_rows)
+    if not by:
+        return _searched(df, columns, probabilities, by, exact_rows)
+    # Packed keys compare field by field, so a null key is a group of its own in every join.
+    packed = df.select(F.struct(*by).alias("_by"), *columns)
+    found = _searched(packed, columns, probabilities, ["_by"], exact_rows)
+    return found.select("_by.*", "column_name", "probability", "value")
 
 
 def _small(df, columns, probabilities, by) -> DataFrame:
@@ -47,8 +56,10 @@ def _small(df, columns, probabilities, by) -> DataFrame:
     found = df.groupBy(*by).agg(
         *[F.percentile(F.col(c).cast("double"), F.lit(points)).alias(c) for c in columns]
     )
+    unknown = F.array_repeat(F.lit(None).cast("double"), len(points))
     per_column = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_values")) for c in columns
+        F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c), unknown).alias("_values"))
+        for c in columns
     ]
     named = found.select(*by, F.inline(F.array(*per_column)))
     pairs = F.arrays_zip(F.array(*map(F.lit, points)).alias("probability"), F.col("_values"))
@@ -90,7 +101,8 @@ def _searched(df, columns, probabilities, by, exact_rows) -> DataFrame:
     lower = found.select(*group, F.col("rank").alias("_lower"), F.col("v").alias("_v0"))
     upper = found.select(*group, F.col("rank").alias("_upper"), F.col("v").alias("_v1"))
     share = F.col("position") - F.col("_lower")
-    return (
+    value = F.when(share == 0, F.col("_v0")).when(F.col("_v0") == F.col("_v1"), F.col("_v0"))
+    results = (
         wanted.withColumn("_lower", F.floor("position"))
         .withColumn("_upper", F.ceil("position"))
         .join(lower, [*group, "_lower"])
@@ -98,16 +110,27 @@ def _searched(df, columns, probabilities, by, exact_rows) -> DataFrame:
         .select(
             *group,
             "probability",
-            (F.col("_v0") * (1 - share) + F.col("_v1") * share).alias("value"),
+            value.otherwise(F.col("_v0") * (1 - share) + F.col("_v1") * share).alias("value"),
         )
     )
+    # A column without a known value has null quantiles.
+    asked = [F.array(*map(F.lit, columns)), F.array(*[F.lit(float(p)) for p in probabilities])]
+    every = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    every = every.select(*by, F.explode(asked[0]).alias("column_name")).select("*", F.explode(asked[1]).alias("probability"))
+    return every.join(results, [*group, "probability"], "left").select(*group, "probability", "value")
 
 
 def _narrow(values: DataFrame, ranks: DataFrame, group: list[str]) -> DataFrame:
     """Replace the bracket of each rank by the extent of its bin in that bracket."""
     brackets = ranks.select(*group, "lo", "hi").distinct()
     # Monotone in the value, so bins keep the order of the values exactly.
-    place = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _BINS
+    # Infinite ends are binned as the largest numbers, ranges beyond a double by halves. The ends of a
+    # bracket always fall into the first and the last bin, so every round narrows it.
+    low, high, at = (F.greatest(F.least(F.col(c), F.lit(_LARGEST)), F.lit(-_LARGEST)) for c in ("lo", "hi", "value"))
+    extent = high - low
+    share = F.when(extent <= _LARGEST, (at - low) / extent).otherwise((at / 2 - low / 2) / (high / 2 - low / 2))
+    share = F.when(F.col("value") == F.col("hi"), 1.0).when(F.col("value") == F.col("lo"), 0.0).otherwise(share)
+    place = share * _BINS
     counted = (
         values.join(brackets, group)
         .where(F.col("value").between(F.col("lo"), F.col("hi")))

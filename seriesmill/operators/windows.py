@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from seriesmill.operators.order import BLOCK_ROWS, over_blocks, running_total
+from seriesmill.operators.order import BLOCK_ROWS, nearest_known, over_blocks, running_total
 
 
 def lag_with_head(name: str, window: WindowSpec) -> Column:
@@ -39,7 +39,15 @@ def rolling_mean(name: str, window: WindowSpec, rows: int = 3) -> Column:
 def lagged(
     df: DataFrame, columns: Sequence[str], steps: int = 1, head: str = "back", **where
 ) -> DataFrame:
-    """Add ``<column>_lag``. ``head='null'`` leaves the first rows empty."""
+    """Add ``<column>_lag``. ``head='null'`` leaves the first rows empty.
+
+    ``head='back'`` fills what is missing from the next known lag, also after nulls within a column.
+    """
+    if head == "back" and steps == 1 and (holes := _with_nulls(df, columns)):
+        rest = [c for c in columns if c not in holes]
+        out = lagged(df, holes, 1, "null", **where)
+        out = _filled_back(out, [f"{c}_lag" for c in holes], **where)
+        return lagged(out, rest, 1, head, **where) if rest else out
 
     def build(window: WindowSpec) -> dict[str, Column]:
         if head == "back":
@@ -62,7 +70,12 @@ def rolled(df: DataFrame, columns: Sequence[str], rows: int = 3, **where) -> Dat
 
 
 def differenced(df: DataFrame, columns: Sequence[str], head: str = "back", **where) -> DataFrame:
-    """Add ``<column>_diff``, the first difference."""
+    """Add ``<column>_diff``, the first difference; ``head='back'`` fills it from the next known one."""
+    if head == "back" and (holes := _with_nulls(df, columns)):
+        rest = [c for c in columns if c not in holes]
+        out = differenced(df, holes, "null", **where)
+        out = _filled_back(out, [f"{c}_diff" for c in holes], **where)
+        return differenced(out, rest, head, **where) if rest else out
 
     def build(window: WindowSpec) -> dict[str, Column]:
         if head == "back":
@@ -72,6 +85,18 @@ def differenced(df: DataFrame, columns: Sequence[str], head: str = "back", **whe
     return over_blocks(df, build, back=1, ahead=1, **where)
 
 
+def _with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    found = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if found[c]]
+
+
+def _filled_back(df: DataFrame, columns: Sequence[str], **where) -> DataFrame:
+    """Replace nulls of the columns by the next known value of the series."""
+    filled = nearest_known(df, columns, "next", **where)
+    kept = [c for c in df.columns if c not in columns]
+    return filled.select(*kept, *[F.col(f"{c}_filled").alias(c) for c in columns])
+
+
 def nth_difference(df: DataFrame, column: str, order: int, out: str, **where) -> DataFrame:
     """Add the ``order``-fold difference as a sum of lags with binomial weights."""
 

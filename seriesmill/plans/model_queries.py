@@ -15,7 +15,7 @@ from seriesmill.sources.tables import ORDER_KEYS, observations, table
 
 DRIVERS = ["n_lines", "qty", "disc", "tax", "year", "month", "day"]
 SCORES = ["rmse", "mae", "mape_pct", "r2"]
-ROUNDS = 20
+ROUNDS = 100
 
 
 def _spend_rows(spark, folder):

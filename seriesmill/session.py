@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOOKUP_ROWS = 200_000
+INITIAL_PARTITIONS = "8192"
 
 
 def build_session(app: str = "seriesmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,6 +30,9 @@ def build_session(app: str = "seriesmill", master: str | None = None, **conf: st
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        # Adaptive execution merges partitions of a range or window shuffle but never splits them.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", INITIAL_PARTITIONS)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

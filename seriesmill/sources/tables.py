@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.functions.columns import season_of
+from seriesmill.functions.columns import nan_to_null, season_of
 
 ORDER_KEYS = ("obs_ts", "obs_id")
 CALENDAR = ("year", "month", "day", "season")
@@ -17,7 +17,8 @@ ALL_COLUMNS = ("obs_id", "obs_ts", *CALENDAR, "price", *LINE_DRIVERS, *CUSTOMER_
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder; NaN is read as null."""
+    return nan_to_null(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def observations(
