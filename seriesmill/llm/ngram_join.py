@@ -4,12 +4,16 @@ Rows of the incidence matrix are the different shingle sets (copies share one ro
 holds a range of shingle hashes. Only the columns are multiplied that a pair above the threshold cannot avoid:
 in one order of all shingles (rare ones first, by a counting sketch over all documents) two sets of a
 Jaccard similarity of at least t share one of the first ``n - ceil(t n) + 1`` shingles of each. Entries carry
-their place, so size and place bound the overlap, and pairs below the bound are discarded. For pairs left the
-overlap is accumulated over all columns and the threshold tested in integers.
+their place, and how many of the entries before it lie in columns that are shared at all: with the size these bound the
+overlap, and pairs below the bound are discarded. For pairs left the overlap is accumulated over all columns and the
+threshold tested in integers.
 
 A crowded column is not multiplied out at once: its rows are first compared with a pivot, the row with the
 fewest rarer shingles of its own; what links is one class, and further pivots follow while classes merge. The
-product then leaves out pairs of one class. Classes and verified links therefore are those of the whole product.
+product then takes only columns that more than one class shares, and multiplies the rows outside a column's largest class
+with all rows; in a crowded column only with those whose sizes the entry still allows, found by bands of size. A
+row that has many shingles of its own, as the outer ones of a large group of near copies, so meets no rows of its own size.
+Classes and verified links therefore are those of the whole product.
 
 Nulls and texts without words have an empty set and link with nothing. Equal documents get equal rows. A null
 ``doc_id`` is dropped; rows that repeat a ``doc_id`` with its text stand or go together. Extra columns are ignored.
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesmill.llm import batches as B
@@ -40,6 +44,8 @@ HASH_BITS = np.uint64(50)
 #: Columns of more rows get pivots before the product, in so many rounds at most (whatever is left, the product compares).
 CROWDED = 32
 PIVOT_ROUNDS = 6
+#: Bands of set sizes for each doubling of the size.
+BANDS = 32
 
 
 def sets_of(texts: B.Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,11 +170,18 @@ def _columns(key, table):
     return pa.table({c: v[shared] for c, v in flat.items()})
 
 
+def _counted(columns: DataFrame) -> DataFrame:
+    """The entries with ``before``: how many entries of the same row come earlier in these columns."""
+    return columns.withColumn("before", F.row_number().over(Window.partitionBy("mark").orderBy("place")) - 1)
+
+
 def _possible(percent: int):
-    """Size and place bounds: the overlap that the two places still allow, in integers."""
-    least_place = F.least("place_a", "place_b")
-    rest = F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
-    return (F.lit(100 + percent) * (least_place + rest) >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))) & (
+    """Bound of the overlap that two entries of a column still allow, in integers.
+
+    Before the column at most the smaller number of shared entries is common, after it the smaller rest.
+    """
+    most = F.least("before_a", "before_b") + F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
+    return (F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))) & (
         100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     )
 
@@ -211,25 +224,34 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _labelled(columns: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The columns with the class of each row, and only those that more than one class share."""
+    """Entries with the class of their row, in columns that more than one class shares.
+
+    ``held`` is the number of entries of the column, ``major`` the class with most of them.
+    """
     if links is None:
-        return columns.withColumn("label", F.col("mark"))
-    labels = stage(components(links), "labels")
-    labelled = columns.join(labels, columns.mark == labels.node, "left").select(
-        *columns.columns, F.coalesce("component", "mark").alias("label")
+        labelled = columns.withColumn("label", F.col("mark"))
+    else:
+        labels = stage(components(links), "labels")
+        labelled = columns.join(labels, columns.mark == labels.node, "left").select(
+            *columns.columns, F.coalesce("component", "mark").alias("label")
+        )
+    classes = labelled.groupBy("shingle", "label").agg(F.count("*").alias("of_class")).groupBy("shingle")
+    classes = classes.agg(
+        F.sum("of_class").alias("held"), F.max(F.struct("of_class", "label"))["label"].alias("major"), F.count("*").alias("classes")
     )
-    spread = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return stage(labelled.join(spread.filter("low < high"), "shingle", "left_semi"), "open-columns")
+    return labelled.join(classes.filter("classes > 1").drop("classes"), "shingle")
+
+
+ENTRY = ("mark", "n", "place", "before", "label")
 
 
 def _with_pivots(columns: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each row with the pivot of its column; a later turn takes another pivot among the plainest rows."""
-    row = ("mark", "n", "place", "label")
     plain = F.col("place") if turn == 0 else F.floor(F.expr("4 * place / n"))
     rank = F.struct(plain, F.xxhash64("mark", F.lit(turn)), F.col("mark"))
-    pivot = columns.groupBy("shingle").agg(F.min_by(F.struct(*row), rank).alias("pivot"))
-    left = pivot.select("shingle", *[F.col(f"pivot.{c}").alias(f"{c}_a") for c in row])
-    both = left.join(columns.select("shingle", *[F.col(c).alias(f"{c}_b") for c in row]), "shingle")
+    pivot = columns.groupBy("shingle").agg(F.min_by(F.struct(*ENTRY), rank).alias("pivot"))
+    left = pivot.select("shingle", *[F.col(f"pivot.{c}").alias(f"{c}_a") for c in ENTRY])
+    both = left.join(columns.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ENTRY]), "shingle")
     both = both.filter("label_a <> label_b").filter(_possible(percent))
     return both.select(F.least("mark_a", "mark_b").alias("a"), F.greatest("mark_a", "mark_b").alias("b")).distinct()
 
@@ -237,17 +259,26 @@ def _with_pivots(columns: DataFrame, turn: int, percent: int) -> DataFrame:
 def _product(columns: DataFrame, percent: int) -> DataFrame:
     """Overlap of the needed columns for every two rows of different classes, less what the bounds exclude.
 
-    What two sets share outside these columns lies beyond the needed part of one of them, so the larger rest
-    bounds it.
+    An entry allows partners of ``low`` to ``high`` shingles; one that allows none is left out. Of two rows of different
+    classes one at least is outside the column's largest class. What two sets share outside these columns lies beyond
+    the needed part of one of them, so the larger rest bounds it.
     """
-    row = ("mark", "n", "place", "label")
-    left = columns.select("shingle", *[F.col(c).alias(f"{c}_a") for c in row])
-    right = columns.select("shingle", *[F.col(c).alias(f"{c}_b") for c in row])
-    both = left.join(right, "shingle").filter("label_a <> label_b AND mark_a < mark_b").filter(_possible(percent))
-    rest = [F.ceil(F.col(f"n_{x}") * percent / 100) - 1 for x in "ab"]
-    counted = both.groupBy(F.col("mark_a").alias("a"), F.col("mark_b").alias("b"), "n_a", "n_b").agg(F.count("*").alias("shared"))
-    bound = F.col("shared") + F.greatest(*rest)
-    return counted.filter(F.lit(100 + percent) * bound >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    band = lambda n: F.floor(F.log2(n.cast("double")) * BANDS).cast("int")
+    crowded = F.col("held") > CROWDED
+    low = F.ceil(F.col("n") * percent / 100)
+    high = F.floor(((100 + percent) * F.expr("before + n - place") - percent * F.col("n")) / percent)
+    able = columns.withColumns({"low": low, "high": high}).filter("low <= high")
+    bands = F.when(crowded, F.sequence(band(F.col("low")), band(F.col("high")))).otherwise(F.array(F.lit(-1)))
+    sides = (*ENTRY, "low", "high")
+    left = able.filter("label <> major").select("shingle", F.explode(bands).alias("band"), *[F.col(c).alias(f"{c}_a") for c in sides])
+    own_band = F.when(crowded, band(F.col("n"))).otherwise(-1).alias("band")
+    right = able.select("shingle", own_band, (F.col("label") == F.col("major")).alias("in_major"), *[F.col(c).alias(f"{c}_b") for c in sides])
+    both = left.join(right, ["shingle", "band"]).filter("label_a <> label_b AND (in_major OR mark_a < mark_b)")
+    both = both.filter("n_b BETWEEN low_a AND high_a AND n_a BETWEEN low_b AND high_b").filter(_possible(percent))
+    rest = F.greatest(*[F.ceil(F.col(f"n_{x}") * percent / 100) - 1 for x in "ab"])
+    ends = [F.least("mark_a", "mark_b").alias("a"), F.greatest("mark_a", "mark_b").alias("b")]
+    counted = both.groupBy(*ends, F.expr("n_a + n_b").alias("total"), rest.alias("rest")).agg(F.count("*").alias("shared"))
+    return counted.filter(F.lit(100 + percent) * F.expr("shared + rest") >= F.lit(percent) * F.col("total")).select("a", "b")
 
 
 def similar_sets(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -264,13 +295,13 @@ def similar_sets(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     source = docs.filter("doc_id IS NOT NULL").select("text")
     entries = source.mapInArrow(_entries(size, percent, buckets, shared), schema)
     columns = entries.groupBy("bucket").applyInArrow(_columns, "shingle long, mark long, n int, place int")
-    columns = stage(columns, "shared-columns")
+    columns = stage(_counted(columns), "shared-columns")
 
     crowds = columns.groupBy("shingle").count().filter(F.col("count") > CROWDED).select("shingle")
     crowded = stage(columns.join(crowds, "shingle", "left_semi"), "crowded-columns")
     links, sets = None, None
     for turn in range(PIVOT_ROUNDS):
-        open_columns = _labelled(crowded, links)
+        open_columns = stage(_labelled(crowded, links), "open-columns")
         held = open_columns.groupBy("shingle", "label").count().groupBy("shingle")
         held = held.agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("count")).alias("inside"))
         work = held.agg(F.sum(F.expr("rows * rows - inside")).alias("pairs"), F.sum("rows").alias("rows")).head()
@@ -280,7 +311,10 @@ def similar_sets(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
         sets = sets or _sets_for(docs, members, crowded.select("mark"), size)
         fresh = stage(_verified(pairs, sets, percent), "verified").filter("linked").select("a", "b", "overlap")
         links = fresh if links is None else links.unionByName(fresh)
-    pairs = stage(_product(_labelled(columns, links), percent), "pairs")
+        if not fresh.head(1):
+            break
+    open_columns = stage(_counted(_labelled(columns.drop("before"), links)), "open-columns")
+    pairs = stage(_product(open_columns, percent), "pairs")
     fresh = stage(_verified(pairs, _sets_for(docs, members, _ends(pairs), size), percent), "verified")
     fresh = fresh.filter("linked").select("a", "b", "overlap")
     return members, fresh if links is None else links.unionByName(fresh)
