@@ -57,15 +57,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as parquet in the shared folder and read it back.
+def stage(df: DataFrame, label: str, *partitions: str) -> DataFrame:
+    """Write ``df`` once as parquet in the shared folder, in folders by ``partitions``, and read it back.
 
     Used where a plan is read by several passes or where a column depends on the
     physical layout (partition numbers): the written rows survive the loss of
     executors, and later passes still prune columns.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
