@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import conversations, decontaminate, langid, lm, mixing, ngram_join, quality, repeats, urls, vectors
+from seriesmill.llm import conversations, decontaminate, langid, lm, mixing, ngram_join, quality, repeats, search, spelling, urls, vectors
 from seriesmill.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -56,3 +56,13 @@ def op4_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_ngram_trie_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(table(spark, folder, "documents"))
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@query(search.SQL)
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
