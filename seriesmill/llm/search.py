@@ -1,16 +1,15 @@
 """Ranked lexical search, term at a time with a limit on accumulators.
 
-The terms of the items go by tiers of document frequency, rarest first. A tier's postings add to the accumulators (item,
-document) of its items and create new ones. After each tier an item stops creating them as soon as the bounds of its
-terms to come cannot bring a document that has none above the item's kth partial score; equality may still win a tie,
-so it does not stop. Accumulators that their own remaining bounds keep below that score are dropped then, and the
-others, the survivors, get the postings of all later tiers. Scores are exact integers, and so are the ranks.
-
-One pass over the texts keeps, for the vocabulary of the items, what each document holds; a second step lays out the postings by
-tier, so that each tier is read once and the most frequent terms are read for survivors only. Hot terms
-are rows of many documents and are never grouped; the k best of an item are cut in every task before they meet. The vocabulary
-filters the texts in the tasks up to ``LOOKUP_ROWS`` terms; a longer one is joined by shuffle. Accumulators are
-at most the postings of the rarest tiers that an item needs.
+Documents are indexed in blocks, each in one task. For every item a block takes the item's terms rarest first (by documents of the
+whole table). A term's postings add to the accumulators of documents and create new ones, until the bounds of the terms to come, the
+block's largest contributions, cannot bring a document that has none above the kth partial score, or above the kth score that the
+task has found so far; equality may still win a tie, so it does not stop. The accumulators there are, the survivors, go on
+to be updated exactly. Each task keeps the k best of each item, and the k best of all tasks are ranked; scores are exact integers.
+
+One pass over the texts keeps, for the vocabulary of the items, what each document holds, so frequent terms are lists in the
+rows of their documents and no term or item is ever gathered in one place. The vocabulary filters the texts up to
+``LOOKUP_ROWS`` terms; beyond that documents keep all their terms. Items are asked in blocks of about ``ASKED`` terms, each a pass over
+the index.
 
 A null text has no terms. A document is a row: repeated rows count and rank each; rows with a null ``doc_id`` are left out of
 everything. Items with a null id or without terms have no results; rows that repeat an item_id are one item
@@ -22,16 +21,18 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesmill.session import LOOKUP_ROWS, lookup, stage
+from seriesmill.session import LOOKUP_ROWS, stage
 
 BEST = 50
-#: Document frequencies of one tier differ by less than this factor.
-TIER_FACTOR = 8
+#: Terms of items that are asked in one pass over the index.
+ASKED = 200_000
 SLICE = 1 << 20
 #: Bytes of terms are ASCII letters and digits and all bytes beyond ASCII; only A-Z are lower-cased.
 TERM_BYTES = bytes(
@@ -84,88 +85,139 @@ def _held_terms(vocabulary):
     return run
 
 
-def _postings(docs: DataFrame, terms: DataFrame, most_terms: int) -> tuple[DataFrame, DataFrame]:
-    """Documents (row, doc_id, n) with their query terms as arrays, staged, and (term, df)."""
-    spark = docs.sparkSession
+def index(docs: DataFrame, terms: DataFrame, most_terms: int = LOOKUP_ROWS) -> DataFrame:
+    """Documents (doc_id, n) with their query terms and how often they hold them, staged."""
     vocabulary = None
     if terms.count() <= most_terms:  # bounds what is collected
-        vocabulary = spark.sparkContext.broadcast(frozenset(t["term"].encode() for t in terms.collect()))
+        vocabulary = docs.sparkSession.sparkContext.broadcast(frozenset(t["term"].encode() for t in terms.collect()))
     source = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = source.mapInArrow(_held_terms(vocabulary), "doc_id long, n long, terms array<string>, times array<long>")
-    # The row number is fixed by writing it.
-    held = stage(held.withColumn("row", F.monotonically_increasing_id()), "held-terms")
-    each = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    return held, stage(each.join(terms, "term", "left_semi"), "frequencies")
+    return stage(held, "held-terms")
+
+
+class Asked(NamedTuple):
+    """Items with the numbers of their terms, rarest first, and the weights of the terms."""
+
+    items: list[str]
+    terms: list[np.ndarray]
+    weights: np.ndarray
+    number: dict[str, int]
+
+
+def asked(rows: list) -> Asked:
+    """From rows (item_id, term, w, df)."""
+    rows = sorted(rows, key=lambda r: (r["item_id"], r["df"], r["term"]))
+    number = {t: i for i, t in enumerate(sorted({r["term"] for r in rows}))}
+    weights = np.zeros(len(number), np.int64)
+    items: dict[str, list[int]] = {}
+    for r in rows:
+        weights[number[r["term"]]] = r["w"]
+        items.setdefault(r["item_id"], []).append(number[r["term"]])
+    return Asked(list(items), [np.array(t) for t in items.values()], weights, number)
+
+
+class Block(NamedTuple):
+    """Postings of a block of documents by term number: documents' places and contributions (times the weight)."""
+
+    begins: np.ndarray
+    places: np.ndarray
+    parts: np.ndarray
+    most: np.ndarray
+
+
+def block_of(batch: pa.RecordBatch, query: Asked, n_docs: int, all_terms: int) -> Block:
+    lists = batch.column("terms")
+    encoded = lists.flatten().dictionary_encode()
+    known = np.array([query.number.get(t, -1) for t in encoded.dictionary.to_pylist()], np.int64)
+    term = known[encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)] if len(known) else np.zeros(0, np.int64)
+    place = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    use = np.flatnonzero(term >= 0)
+    use = use[np.argsort(term[use], kind="stable")]
+    term, place, times = term[use], place[use], batch.column("times").flatten().to_numpy()[use]
+    m = 50 + (50 * batch.column("n").to_numpy() * n_docs) // max(1, all_terms)
+    parts = query.weights[term] * ((1_000_000_000 * times) // (1000 * times + 20 * m[place]))
+    begins = np.searchsorted(term, np.arange(len(query.weights) + 1))
+    most = np.zeros(len(query.weights), np.int64)
+    np.maximum.at(most, term, parts)
+    return Block(begins, place, parts, most)
+
+
+def scores_in(block: Block, size: int, terms: np.ndarray, k: int, found: int) -> np.ndarray:
+    """Scores of the block's documents for one item; 0 for documents that cannot reach the k best (or hold no term).
+
+    ``found`` is a score that k documents elsewhere reach (0 if there are none).
+    """
+    scores, creating = np.zeros(size, np.int64), True
+    to_come = int(block.most[terms].sum())
+    for term in terms:
+        at = slice(block.begins[term], block.begins[term + 1])
+        places, parts = block.places[at], block.parts[at]
+        if creating and to_come < found:
+            creating = False
+        elif creating and to_come < scores.max(initial=0) and size >= k:
+            creating = to_come >= np.partition(scores, size - k)[size - k]
+        if not creating:
+            held = scores[places] > 0
+            places, parts = places[held], parts[held]
+        scores[places] += parts
+        to_come -= int(block.most[term])
+    return scores
+
+
+def _best(query, k: int, n_docs: int, all_terms: int):
+    """(item_id, doc_id, score): the k best documents of a task for each item."""
 
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = query.value
+        best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in wanted.items]
+        for batch in source:
+            ids = batch.column("doc_id").to_numpy()
+            block = block_of(batch, wanted, n_docs, all_terms)
+            for i, terms in enumerate(wanted.terms):
+                docs, scores = best[i]
+                found = int(scores[-1]) if len(scores) == k else 0
+                fresh = scores_in(block, len(ids), terms, k, found)
+                places = np.flatnonzero((fresh > 0) & (fresh >= found))
+                if not len(places):
+                    continue
+                docs, scores = np.concatenate((docs, ids[places])), np.concatenate((scores, fresh[places]))
+                order = np.lexsort((docs, -scores))[:k]
+                best[i] = docs[order], scores[order]
+        sizes = [len(d) for d, _ in best]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(np.array(wanted.items, object), sizes), pa.string()),
+                pa.array(np.concatenate([d for d, _ in best] or [np.zeros(0, np.int64)])),
+                pa.array(np.concatenate([s for _, s in best] or [np.zeros(0, np.int64)])),
+            ],
+            ["item_id", "doc_id", "score"],
+        )
 
-def _kth(scores: DataFrame, k: int) -> DataFrame:
-    """(item_id, kth): the kth partial score of the items that have so many accumulators."""
-    place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score")))
-    best = scores.select("item_id", "score", place.alias("place")).filter(F.col("place") <= k)
-    return best.groupBy("item_id").agg(F.min("score").alias("kth"), F.count("*").alias("held")).filter(F.col("held") == k).drop("held")
+    return run
 
 
-def ranked(docs: DataFrame, items: DataFrame, k: int = BEST, most_terms: int = LOOKUP_ROWS) -> DataFrame:
+def ranked(docs: DataFrame, items: DataFrame, k: int = BEST, most_terms: int = LOOKUP_ROWS, per_pass: int = ASKED) -> DataFrame:
     """(item_id, rank, doc_id, score) of the k best documents of every item."""
-    asked = items.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    kind = asked.schema["item_id"].dataType.simpleString()
-    queries = stage(asked.mapInArrow(_item_terms, f"item_id {kind}, term string").distinct(), "item-terms")
-    held, frequencies = _postings(docs, queries.select("term").distinct(), most_terms)
+    spark = docs.sparkSession
+    kind = items.schema["item_id"].dataType
+    source = items.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    queries = stage(source.mapInArrow(_item_terms, "item_id string, term string").distinct(), "item-terms")
+    vocabulary = queries.select("term").distinct()
+    held = index(docs, vocabulary, most_terms)
     n_docs, all_terms = held.filter("n > 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).head()
-    # Weights and length factors: fixed formula, 64-bit integers but for the logarithm.
+    frequencies = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    # Fixed formula: doubles in the logarithm, 64-bit integers elsewhere.
     weight = F.floor(1000 * F.log(F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1).cast("double"))).cast("long")
-    tier = F.floor(F.log(F.col("df").cast("double")) / F.log(F.lit(float(TIER_FACTOR)))).cast("int")
-    weighed = queries.join(frequencies.select("term", weight.alias("w"), tier.alias("tier")), "term").filter("w > 0")
-    length = F.expr(f"50 + (50 * n * {n_docs}L) div {max(1, all_terms)}L").alias("m")
-    each = held.select("row", "doc_id", length, F.explode(F.arrays_zip("terms", "times")).alias("x"))
-    each = each.select("row", "doc_id", F.col("x.terms").alias("term"), F.expr("(1000000000 * x.times) div (1000 * x.times + 20 * m)").alias("part"))
-    tiers = lookup(weighed.select("term", "tier").distinct())
-    postings = stage(each.join(tiers, "term"), "postings", "tier")
-    most = postings.groupBy("tier", "term").agg(F.max("part").alias("most")).drop("tier")
-    weighed = stage(weighed.join(most, "term").withColumn("bound", F.expr("w * most")), "weighed-terms")
-
-    scores, stopped = None, None
-    for now in [t[0] for t in weighed.select("tier").distinct().orderBy("tier").collect()]:  # a logarithm of the documents
-        creating = weighed.filter(F.col("tier") == now).select("item_id", "term", "w")
-        if stopped is not None:
-            creating = creating.join(lookup(stopped.select("item_id")), "item_id", "left_anti")
-        fresh = postings.filter(F.col("tier") == now).join(lookup(creating), "term")
-        fresh = fresh.select("item_id", "row", "doc_id", F.expr("w * part").alias("score"))
-        both = fresh if scores is None else scores.unionByName(fresh)
-        scores = stage(both.groupBy("item_id", "row", "doc_id").agg(F.sum("score").alias("score")), "accumulators")
-        to_come = weighed.filter(F.col("tier") > now).groupBy("item_id").agg(F.sum("bound").alias("to_come"))
-        ends = _kth(scores, k).join(to_come, "item_id", "left").withColumn("to_come", F.coalesce("to_come", F.lit(0)))
-        ends = ends.filter("to_come < kth").select("item_id", "kth", "to_come", F.lit(now).alias("tier"))
-        if stopped is not None:
-            ends = ends.join(stopped, "item_id", "left_anti")
-        ends = stage(ends, "stopped")
-        if not ends.head(1):
-            continue
-        weak = scores.join(lookup(ends.select("item_id", "kth", "to_come")), "item_id", "left")
-        scores = stage(weak.filter("kth IS NULL OR score + to_come >= kth").drop("kth", "to_come"), "survivors")
-        stopped = stage(ends if stopped is None else stopped.unionByName(ends), "all-stopped")
-    if scores is None:
-        return queries.select("item_id", F.lit(1).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).limit(0)
-    if stopped is not None:
-        scores = _survivors_updated(scores, stopped, weighed, postings)
-    place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id", "row"))
-    best = scores.filter("score > 0").withColumn("rank", place).filter(F.col("rank") <= k)
-    return best.select("item_id", "rank", "doc_id", "score")
-
-
-def _survivors_updated(scores: DataFrame, stopped: DataFrame, weighed: DataFrame, postings: DataFrame) -> DataFrame:
-    """The accumulators with the postings of the tiers that come after their item has stopped."""
-    later = weighed.join(lookup(stopped.select("item_id", F.col("tier").alias("last"))), "item_id").filter("tier > last")
-    terms = later.select("term", "item_id", "w")
-    rows = scores.join(lookup(stopped.select("item_id")), "item_id", "left_semi")
-    first = later.agg(F.min("tier")).head()[0]
-    if first is None:
-        return scores
-    wanted = lookup(rows.select("row").distinct())
-    parts = postings.filter(F.col("tier") >= first).join(wanted, "row", "left_semi").select("row", "term", "part")
-    pairs = rows.select("item_id", "row", "doc_id").join(lookup(terms), "item_id")
-    added = pairs.join(parts, ["row", "term"]).select("item_id", "row", "doc_id", F.expr("w * part").alias("score"))
-    return scores.unionByName(added).groupBy("item_id", "row", "doc_id").agg(F.sum("score").alias("score"))
+    weighed = queries.join(frequencies, "term").select("item_id", "term", "df", weight.alias("w")).filter("w > 0")
+    passes = queries.count() // per_pass + 1
+    weighed = stage(weighed.withColumn("pass", F.expr(f"pmod(xxhash64(item_id), {passes})")), "weighed-terms")
+    found = spark.createDataFrame([], "item_id string, doc_id long, score long")
+    for turn in range(passes):
+        query = spark.sparkContext.broadcast(asked(weighed.filter(F.col("pass") == turn).collect()))  # per_pass bounds it
+        found = found.unionByName(held.mapInArrow(_best(query, k, n_docs, all_terms), "item_id string, doc_id long, score long"))
+    place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))
+    best = found.withColumn("rank", place).filter(F.col("rank") <= k)
+    return best.select(F.col("item_id").cast(kind).alias("item_id"), "rank", "doc_id", "score")
 
 
 #: The whole contract for small tables: every document is scored for every item.

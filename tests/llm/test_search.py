@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from seriesmill.llm import search
@@ -51,25 +52,30 @@ def tables(seed, docs=300, frequent=0.5):
     return rows, items
 
 
-@pytest.mark.parametrize("seed,k,most_terms", [(1, 50, 10**6), (2, 3, 10**6), (3, 1, 0), (4, 20, 0)])
-def test_equals_brute_force(spark, seed, k, most_terms):
+@pytest.mark.parametrize("seed,k,most_terms,per_pass", [(1, 50, 10**6, 10**6), (2, 3, 10**6, 9), (3, 1, 0, 30), (4, 20, 0, 10**6)])
+def test_equals_brute_force(spark, seed, k, most_terms, per_pass):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
     docs, items = tables(seed, frequent=0.4 + 0.1 * seed)
     left = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     right = spark.createDataFrame(items, "item_id long, text string")
-    got = sorted(tuple(r) for r in search.ranked(left, right, k, most_terms).collect())
+    got = sorted(tuple(r) for r in search.ranked(left, right, k, most_terms, per_pass).collect())
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == brute(docs, items, k)
 
 
-def test_stops_and_drops_accumulators(spark, monkeypatch):
-    """With a rare term that decides, documents with frequent terms only never get an accumulator."""
-    docs = [(i, "often " * 3 + ("seldom " * 9 if i < 4 else "")) for i in range(400)] + [(i, "other") for i in range(400, 500)]
-    kept = {}
-    whole = search.stage
-    monkeypatch.setattr(search, "stage", lambda df, label, *c: kept.setdefault(label, []).append(whole(df, label, *c)) or kept[label][-1])
-    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([("q", "seldom often")], "item_id string, text string")
-    got = sorted(tuple(r) for r in search.ranked(left, right, 2).collect())
-    assert got == brute(docs, [("q", "seldom often")], 2)
-    assert max(f.count() for f in kept["accumulators"]) == 4
+def test_stops_creating_accumulators():
+    """Documents with frequent terms only get no accumulator once a rare term decides; those that have one are exact."""
+    rows = [{"item_id": "q", "term": t, "w": w, "df": n} for t, w, n in (("often", 10, 90), ("seldom", 3000, 4), ("absent", 9, 7))]
+    query = search.asked(rows)
+    times = [[3, 9]] * 4 + [[3]] * 86
+    lists = [["often", "seldom"]] * 4 + [["often"]] * 86
+    batch = pa.RecordBatch.from_pydict({"terms": lists, "times": times, "n": [12] * 90})
+    block = search.block_of(batch, query, 90, 12 * 90)
+    whole = search.scores_in(block, 90, query.terms[0], 90, 0)
+    assert (whole > 0).all() and len(set(whole.tolist())) == 2
+    few = search.scores_in(block, 90, query.terms[0], 3, 0)
+    assert few[:4].tolist() == whole[:4].tolist() and not few[4:].any()
+    assert not search.scores_in(block, 90, query.terms[0], 3, int(whole[0]) * 2).any()
 
 
 def test_odd_tables(spark):
