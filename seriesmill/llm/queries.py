@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import conversations, decontaminate, langid, lm, mixing, ngram_join, quality, repeats, search, spelling, urls, vectors
+from seriesmill.llm import conversations, decontaminate, langid, lm, mixing, ngram_join, pii, quality, repeats, search, spelling, urls, vectors
 from seriesmill.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -66,3 +66,8 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 @query(search.SQL)
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
