@@ -31,7 +31,9 @@ from seriesmill.session import lookup, stage
 SPAN = 50
 #: Bytes of a sample's name.
 NAME = 20
-SAMPLES_PER_BUCKET = 1_000_000
+SAMPLES_PER_BUCKET = 250_000
+#: Text that is hashed at once; it takes some 60 times as much memory.
+SLICE_BYTES = 1 << 20
 NO_NAME = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -87,7 +89,7 @@ def _named(span: int, buckets: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             ids = batch.column("doc_id").to_numpy()
-            for texts in B.chunks(batch.column("text"), 4 * B.CHUNK_BYTES):
+            for texts in B.chunks(batch.column("text"), SLICE_BYTES):
                 names, places = samples(texts, span)
                 if not len(names):
                     continue
@@ -142,7 +144,7 @@ def _samples_of(batch: pa.RecordBatch) -> Iterator[tuple]:
     lists = batch.column("places")
     counts = np.diff(lists.offsets.to_numpy())
     values, begin = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(counts)))
-    for texts in B.chunks(batch.column("text"), 4 * B.CHUNK_BYTES):
+    for texts in B.chunks(batch.column("text"), SLICE_BYTES):
         row = np.repeat(np.arange(texts.last - texts.first), counts[texts.first : texts.last])
         local = values[begin[texts.first] : begin[texts.last]].astype(np.int64)
         yield texts, row, local, texts.offsets[row] + local
@@ -302,7 +304,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, whole_characters: bool = F
     total = texts.filter("NOT copy").agg(F.sum("n_bytes")).head()[0] or 0
     copies = texts.filter("copy").select("doc_id").distinct()
     own = source.join(lookup(copies), "doc_id", "left_anti").dropDuplicates(["doc_id"]) if _repeats(texts) else source.join(lookup(copies), "doc_id", "left_anti")
-    buckets = max(8, total // (8 * SAMPLES_PER_BUCKET) + 1)
+    buckets = max(8, total // (16 * SAMPLES_PER_BUCKET) + 1)
 
     named = own.mapInArrow(_named(span, buckets), "bucket long, names array<int>, docs array<long>, places array<int>")
     shared = named.groupBy("bucket").applyInArrow(_shared_names, "doc_id long, places array<int>")
