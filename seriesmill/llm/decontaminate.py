@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.llm.packing import packed, unpacked
 from seriesmill.session import lookup, stage
 
 WIDTH = 10
@@ -99,5 +100,5 @@ def report(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents that hold no window of any item, with their columns as they were."""
     hit = stage(occurrences(docs, items, width).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "hit")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest"))
-    return docs.join(hit, same, "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
+    return unpacked(packed(docs, "doc_id", "text").join(hit, same, "left_anti"), docs.columns, ("doc_id", "text"))

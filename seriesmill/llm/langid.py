@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.llm import batches as B
+from seriesmill.llm.packing import packed, unpacked
 from seriesmill.session import stage
 
 #: Languages of a family, by their codes.
@@ -195,7 +196,7 @@ def fit(docs: DataFrame, held_out: str = HELD_OUT, sample: int = SAMPLE) -> Mach
 
 
 def identified(docs: DataFrame, machines: Machines) -> DataFrame:
-    """The documents with lang_pred and score; only the text is looked at."""
+    """The documents with lang_pred and score; only the text is looked at. The names _letter, lang_pred and score are taken."""
     model = docs.sparkSession.sparkContext.broadcast(machines)
     columns = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -223,5 +224,5 @@ def report(docs: DataFrame) -> DataFrame:
 
 def with_language(docs: DataFrame) -> DataFrame:
     """The documents that have a language, with ``lang`` as predicted; those without any letter go."""
-    found = identified(docs, fit(docs)).filter(F.col("lang_pred") != UNKNOWN)
-    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    found = identified(packed(docs, "text"), fit(docs)).filter(F.col("lang_pred") != UNKNOWN)
+    return unpacked(found.withColumn("lang", F.col("lang_pred")), docs.columns, ("text", "lang"))

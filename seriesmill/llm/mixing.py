@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesmill.llm.packing import packed, unpacked
 from seriesmill.session import stage
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -30,8 +31,8 @@ SCALE_STEPS = 8
 
 
 def n_tokens(text: Column) -> Column:
-    trimmed = F.trim(F.coalesce(text, F.lit("")))
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, r"[ \t\n\x0B\f\r]+"))).cast("long")
+    """Words between white space; the ends of the text are no words."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^ \t\n\x0B\f\r]+")).cast("long")
 
 
 def layout_topic(text: Column) -> Column:
@@ -122,6 +123,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def sampled(docs: DataFrame) -> DataFrame:
     """The documents drawn, with their columns as they were."""
-    columns = docs.columns
-    shown = docs.withColumn("topic", layout_topic(F.col("text"))) if "topic" not in columns else docs
-    return mixed(shown).filter("kept").select(*columns)
+    needed = [c for c in ("doc_id", "text", *DIMENSIONS) if c in docs.columns]
+    shown = packed(docs, *needed)
+    if "topic" not in needed:
+        shown = shown.withColumn("topic", layout_topic(F.col("text")))
+    return unpacked(mixed(shown).filter("kept"), docs.columns, needed)

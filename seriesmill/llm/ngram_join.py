@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm import batches as B
 from seriesmill.llm.components import components
+from seriesmill.llm.packing import packed, unpacked
 from seriesmill.session import lookup, stage
 
 SIZE = 5
@@ -337,4 +338,6 @@ def near_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The documents that are the first of their class, with their columns as they were."""
     kept = near_classes(docs, size, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(stage(kept, "kept"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    shown = packed(docs, "doc_id")
+    kept = shown.join(stage(kept, "kept"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    return unpacked(kept, docs.columns, ("doc_id",))

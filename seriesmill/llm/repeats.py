@@ -12,8 +12,9 @@ the others induced from them, as induced sorting does, with order and common pre
 4. The covered bytes of a document are merged and cut out.
 
 Whole copies of a text are settled by its digest first. Texts are UTF-8 bytes, a null is empty; matches never cross
-documents; all is judged on the input. A null ``doc_id`` is dropped; a repeated ``doc_id`` counts as one document.
-Extra columns are ignored. Every step is a shuffle by name or document; nothing is gathered per text but its own spans.
+documents; all is judged on the input. A null ``doc_id`` has no row in the report and is left as it is; rows of one ``doc_id`` never match each
+other: with equal texts they are one document, with different texts each is cut on its own, whatever the layout. Names and
+surroundings are compared by 64-bit hashes. Extra columns are ignored. Every step is a shuffle by name or document; nothing is gathered per text but its own spans.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm import batches as B
+from seriesmill.llm.packing import packed, unpacked
+from seriesmill.operators.order import with_position
 from seriesmill.session import lookup, stage
 
 SPAN = 50
@@ -130,13 +133,17 @@ def _by_doc(docs: np.ndarray, **lists: np.ndarray) -> pa.Table:
     return pa.table(columns | {name: B.lists(values[order], offsets) for name, values in lists.items()})
 
 
-def _shared_names(key, table):
-    names, docs, places = _flat(table, "names", "docs", "places")
-    order = np.argsort(names, kind="stable")
-    names, docs, places = names[order], docs[order], places[order]
-    first, group = _groups(names)
-    shared = (np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first))[group]
-    return _by_doc(docs[shared], places=places[shared])
+def _shared_names(parts: int):
+    def run(key, table):
+        names, docs, places = _flat(table, "names", "docs", "places")
+        order = np.argsort(names, kind="stable")
+        names, docs, places = names[order], docs[order], places[order]
+        first, group = _groups(names)
+        own = docs // parts
+        shared = (np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first))[group]
+        return _by_doc(docs[shared], places=places[shared])
+
+    return run
 
 
 def _samples_of(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -181,19 +188,22 @@ def _surroundings(span: int, buckets: int):
     return run
 
 
-def _settled(key, table):
-    """Samples whose whole surroundings repeat an earlier document, and those left to compare (open)."""
-    names, around, docs, places = _flat(table, "names", "around", "docs", "places")
-    order = np.lexsort((docs, around, names))
-    names, around, docs, places = names[order], around[order], docs[order], places[order]
-    name_first, name_group = _groups(names)
-    fresh = np.concatenate(([True], (names[1:] != names[:-1]) | (around[1:] != around[:-1])))
-    first, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
-    later = docs > docs[first][group]
-    several = (np.add.reduceat(fresh.astype(np.int64), name_first) > 1)[name_group]
-    # One bearer of the surroundings is enough to compare, but each place of the earliest document is cut.
-    keep = later | (several & ~later)
-    return _by_doc(docs[keep], places=places[keep], settled=later[keep])
+def _settled(parts: int):
+    def run(key, table):
+        """Samples whose whole surroundings repeat an earlier document, and those left to compare (open)."""
+        names, around, docs, places = _flat(table, "names", "around", "docs", "places")
+        order = np.lexsort((docs, around, names))
+        names, around, docs, places = names[order], around[order], docs[order], places[order]
+        name_first, name_group = _groups(names)
+        fresh = np.concatenate(([True], (names[1:] != names[:-1]) | (around[1:] != around[:-1])))
+        first, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        later = docs // parts > (docs // parts)[first][group]
+        several = (np.add.reduceat(fresh.astype(np.int64), name_first) > 1)[name_group]
+        # One bearer of the surroundings is enough to compare, but each place of the earliest document is cut.
+        keep = later | (several & ~later)
+        return _by_doc(docs[keep], places=places[keep], settled=later[keep])
+
+    return run
 
 
 def _contexts(span: int, buckets: int):
@@ -232,7 +242,7 @@ def _contexts(span: int, buckets: int):
     return run
 
 
-def _induced(span: int):
+def _induced(span: int, parts: int):
     def run(key, table):
         """Strings of ``span`` bytes around equal names that an earlier document holds too."""
         names, docs, places, left, sizes = _flat(table, "names", "docs", "places", "left", "sizes")
@@ -250,7 +260,8 @@ def _induced(span: int):
             order = np.argsort(keys)
             keys, use = keys[order], use[order]
             first, group = _groups(keys)
-            later = docs[use] > np.minimum.reduceat(docs[use], first)[group]
+            own = docs[use] // parts
+            later = own > np.minimum.reduceat(own, first)[group]
             found_docs.append(docs[use][later])
             found_from.append(places[use][later] - np.int32(before))
         if not found_docs:
@@ -292,27 +303,34 @@ def _cut(span: int, whole_characters: bool):
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, whole_characters: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(texts, cuts): texts has doc_id, n_bytes, digest and ``copy`` (an earlier document has the same whole text);
-    cuts has doc_id, starts, ends (removed spans) and kept (bytes left) of the documents, other than those
+    """(texts, cuts): texts has key, doc_id, n_bytes, digest and ``copy`` (an earlier document has the same whole text);
+    cuts has key, starts, ends (removed spans) and kept (bytes left) of the documents, other than those
     copies, that lose something; ``whole_characters`` drops the rest of torn characters too. A copy shorter than
-    ``span`` holds no such string and loses nothing."""
+    ``span`` holds no such string and loses nothing. The key stands for doc_id and text."""
     source = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     digests = source.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("digest"))
     digests = stage(digests, "text-digests")
     first = digests.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
     texts = stage(digests.join(first, "digest").withColumn("copy", F.col("doc_id") > F.col("first_id")), "texts")
     total = texts.filter("NOT copy").agg(F.sum("n_bytes")).head()[0] or 0
-    copies = texts.filter("copy").select("doc_id").distinct()
-    own = source.join(lookup(copies), "doc_id", "left_anti").dropDuplicates(["doc_id"]) if _repeats(texts) else source.join(lookup(copies), "doc_id", "left_anti")
+    texts, parts, repeated = _keyed(texts)
+    if parts == 1:
+        copies = texts.filter("copy").select("doc_id").distinct()
+        own = source.join(lookup(copies), "doc_id", "left_anti")
+    else:
+        keys = texts.filter("NOT copy").select("doc_id", "digest", "key").distinct()
+        own = source.withColumn("digest", F.sha2("text", 256)).join(keys, ["doc_id", "digest"]).select(F.col("key").alias("doc_id"), "text")
+    if repeated:
+        own = own.dropDuplicates(["doc_id"])
     buckets = max(8, total // (16 * SAMPLES_PER_BUCKET) + 1)
 
     named = own.mapInArrow(_named(span, buckets), "bucket long, names array<int>, docs array<long>, places array<int>")
-    shared = named.groupBy("bucket").applyInArrow(_shared_names, "doc_id long, places array<int>")
+    shared = named.groupBy("bucket").applyInArrow(_shared_names(parts), "doc_id long, places array<int>")
     flagged = stage(_per_doc(shared, "places"), "shared-names")
     around = _with_text(own, flagged).mapInArrow(
         _surroundings(span, buckets), "bucket long, names array<long>, around array<long>, docs array<long>, places array<int>"
     )
-    settled = around.groupBy("bucket").applyInArrow(_settled, "doc_id long, places array<int>, settled array<boolean>")
+    settled = around.groupBy("bucket").applyInArrow(_settled(parts), "doc_id long, places array<int>, settled array<boolean>")
     settled = stage(settled, "settled-names")
     pairs = F.arrays_zip("places", "settled")
     pick = lambda wanted: F.transform(F.filter(pairs, lambda x: x["settled"] == wanted), lambda x: x["places"])
@@ -322,15 +340,27 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, whole_characters: bool = F
         _contexts(span, buckets),
         "bucket long, names array<long>, docs array<long>, places array<int>, left array<int>, sizes array<int>, raw binary",
     )
-    induced = contexts.groupBy("bucket").applyInArrow(_induced(span), "doc_id long, starts array<int>")
+    induced = contexts.groupBy("bucket").applyInArrow(_induced(span, parts), "doc_id long, starts array<int>")
     spans = stage(cut_whole.join(_per_doc(induced, "starts"), "doc_id", "full"), "repeated-spans")
     cuts = _with_text(own, spans).mapInArrow(_cut(span, whole_characters), "doc_id long, starts array<long>, ends array<long>, kept binary")
-    return texts, cuts
+    return texts, cuts.withColumnRenamed("doc_id", "key")
 
 
-def _repeats(texts: DataFrame) -> bool:
-    """Whether a doc_id stands in several rows."""
-    return bool(texts.filter("NOT copy").groupBy("doc_id").count().filter("count > 1").head(1))
+def _keyed(texts: DataFrame) -> tuple[DataFrame, int, bool]:
+    """The texts with ``key``, by what the key is divided for the rank of the doc_id, and whether any doc_id stands twice.
+
+    It is the doc_id itself unless one stands with different texts; then a key is a rank of the doc_id and a number of its text.
+    """
+    ids = texts.groupBy("doc_id").agg((F.min("digest") != F.max("digest")).alias("several"), (F.count("*") > 1).alias("again"))
+    several, again = ids.agg(F.max("several"), F.max("again")).head()
+    if not several:
+        return texts.withColumn("key", F.col("doc_id")), 1, bool(again)
+    placed = with_position(texts.select("doc_id", "digest").distinct(), ["doc_id", "digest"], "place")
+    first = placed.groupBy("doc_id").agg(F.min("place").alias("first"))
+    numbered = stage(placed.join(first, "doc_id"), "texts-of-ids")
+    parts = numbered.agg(F.max(F.expr("place - first"))).head()[0] + 1
+    keys = numbered.select("doc_id", "digest", F.expr(f"first * {parts}L + place - first").alias("key"))
+    return stage(texts.join(keys, ["doc_id", "digest"]), "texts"), parts, True
 
 
 def _per_doc(lists: DataFrame, name: str) -> DataFrame:
@@ -350,14 +380,17 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     A character that loses some of its bytes goes whole. Texts that were null or empty before stay as they were.
     """
     texts, cuts = repeated_spans(docs, span, whole_characters=True)
-    changed = cuts.select(F.col("doc_id").alias("_id"), F.col("kept").cast("string").alias("_rest"))
-    gone = texts.filter(f"copy AND n_bytes >= {span}").select(F.col("doc_id").alias("_id"), F.lit("").alias("_rest")).distinct()
-    found = stage(changed.unionByName(gone), "cut-texts")
-    joined = docs.join(found, F.col("doc_id") == F.col("_id"), "left").filter("_rest IS NULL OR _rest <> ''")
+    named = texts.select("key", F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "copy", "n_bytes").distinct()
+    changed = named.filter("NOT copy").join(cuts.select("key", F.col("kept").cast("string").alias("_rest")), "key")
+    gone = named.filter(f"copy AND n_bytes >= {span}").withColumn("_rest", F.lit(""))
+    found = stage(changed.unionByName(gone, allowMissingColumns=True).select("_id", "_digest", "_rest"), "cut-texts")
+    needed = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("_digest"))
+    joined = packed(docs, *needed).join(found, same, "left").filter("_rest IS NULL OR _rest <> ''")
     out = joined.withColumn("text", F.coalesce("_rest", "text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_rest").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    if "n_chars" in needed:
+        out = out.withColumn("n_chars", F.when(F.col("_rest").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return unpacked(out, docs.columns, needed)
 
 
 def report(docs: DataFrame, span: int = SPAN) -> DataFrame:
@@ -365,7 +398,7 @@ def report(docs: DataFrame, span: int = SPAN) -> DataFrame:
     texts, cuts = repeated_spans(docs, span)
     lost = stage(
         cuts.select(
-            "doc_id",
+            "key",
             F.octet_length("kept").cast("long").alias("n_kept"),
             F.size("starts").cast("long").alias("spans"),
             F.sha2("kept", 256).alias("kept_digest"),
@@ -374,7 +407,7 @@ def report(docs: DataFrame, span: int = SPAN) -> DataFrame:
     )
     copied = F.col("copy") & (F.col("n_bytes") >= span)
     nothing = F.sha2(F.lit(""), 256)
-    return texts.join(lost, "doc_id", "left").select(
+    return texts.join(lost, "key", "left").select(
         "doc_id",
         "n_bytes",
         F.when(copied, F.col("n_bytes")).otherwise(F.coalesce(F.expr("n_bytes - n_kept"), F.lit(0))).alias("n_removed"),

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesmill.llm.packing import REST, packed
 from seriesmill.session import lookup, stage
 
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -83,7 +84,7 @@ def templates(shapes: DataFrame) -> DataFrame:
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """The pages with host, path, rule, template, purity and verdict."""
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    rows = pages.withColumns({"host": host, "path": path}).withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules))
+    rows = packed(pages, "url").withColumns({"host": host, "path": path}).withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules))
     ruled = F.lit(None).cast("string")
     for rule, verdict in rules:
         ruled = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(ruled)
@@ -96,7 +97,9 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFr
     found = templates(stage(shapes, "url-shapes")).select(F.col("host").alias("_host"), F.col("shape").alias("_of"), "template", F.round("purity", 9).alias("purity"))
     out = rows.join(lookup(found), (rows.host == F.col("_host")) & (rows._shape == F.col("_of")), "left")
     verdict = F.coalesce("_ruled", F.when(F.col("purity") > REJECT, "block").otherwise("allow"))
-    return out.withColumn("verdict", verdict).drop("_host", "_of", "_shape", "_ruled")
+    own = ("host", "path", "rule", "template", "purity", "verdict")
+    shown = [F.col("url") if c == "url" else F.col(REST).getField(c).alias(c) for c in pages.columns if c not in own]
+    return out.withColumn("verdict", verdict).select(*shown, *own)
 
 
 def report(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:

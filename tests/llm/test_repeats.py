@@ -1,5 +1,9 @@
 import hashlib
 import random
+import tracemalloc
+
+import pyarrow as pa
+import pytest
 
 from seriesmill.llm import repeats
 
@@ -70,3 +74,32 @@ def test_empty_and_repeated_rows(spark):
     twice = spark.createDataFrame([(3, text), (3, text), (None, text), (9, text)], kind)
     found = [tuple(r)[:4] for r in repeats.report(twice).orderBy("doc_id").collect()]
     assert found == [(3, 150, 0, 0), (3, 150, 0, 0), (9, 150, 150, 1)]
+
+
+@pytest.mark.parametrize("layout", [1, 2, 4])
+def test_rows_of_one_id_with_different_texts(spark, layout):
+    """Each is cut on its own, they never match each other, and no layout changes that."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    x, y = prose(150), prose(150)
+    rows = [(1, x), (2, x + " tail"), (2, y), (2, y + x), (3, y), (2, x + " tail"), (4, y + " more " + x), (4, prose(5) + y)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(layout)
+    got = sorted((r.doc_id, r.text) for r in repeats.without_repeats(frame).collect())
+    size = len(y)
+    assert got[0] == (1, x) and [r for r in got if r[0] == 2] == sorted([(2, " tail"), (2, " tail"), (2, y), (2, y)])
+    assert not [r for r in got if r[0] == 3] and (4, " more ") in got and len([r for r in got if r[0] == 4]) == 2
+    report = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in repeats.report(frame).collect())
+    assert (2, size, 0) in report and report.count((2, len(x) + 5, len(x))) == 2 and (2, size + len(x), len(x)) in report
+
+
+def test_memory_of_a_slice():
+    """Hashing a slice takes at most a hundred times its bytes."""
+    rng = random.Random(2)
+    column = pa.array(["".join(rng.choices("abcdefgh ", k=repeats.SLICE_BYTES // 8)) for _ in range(24)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(24)), column], ["doc_id", "text"])
+    list(repeats._named(50, 8)(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    list(repeats._named(50, 8)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * repeats.SLICE_BYTES
