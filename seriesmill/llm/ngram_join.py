@@ -127,7 +127,7 @@ def _entries(size: int, percent: int, buckets: int, classes):
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for texts in B.chunks(batch.column("text"), 4 * B.CHUNK_BYTES):
+            for texts in B.chunks(batch.column("text"), B.CHUNK_BYTES // 2):
                 rows = texts.last - texts.first
                 text, hashes = sets_of(texts, size)
                 if not len(text):
