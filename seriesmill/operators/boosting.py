@@ -31,6 +31,8 @@ from seriesmill.session import stage
 MISSING = 255
 ROUNDS_PER_STAGE = 10
 TRAIN_LOSS, LATE_LOSS = -1, -2
+#: Up to so many cells of all tasks are summed by the driver; beyond it a shuffle sums them first.
+DIRECT_CELLS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -124,7 +126,11 @@ def _values(batch: pa.RecordBatch, features: Sequence[str]) -> np.ndarray:
 
 def _read(batch: pa.RecordBatch, width: int, recent: list[Tree]):
     """Codes (feature x row), target, validation mark and present margin of a batch."""
-    codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(-1, width).T
+    # All values have one length, so they are the rows of a matrix.
+    packed = batch.column("codes")
+    offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset :]
+    data = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[offsets[0] if len(packed) else 0 :][: len(packed) * width]
+    codes = np.ascontiguousarray(data.reshape(-1, width).T)
     y, late = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "late"))
     margin = batch.column("margin").to_numpy(zero_copy_only=False).copy()
     for tree in recent:
@@ -176,18 +182,19 @@ def _cells(width: int, recent: list[Tree], growing: Tree, nodes: list[int], use:
     return run
 
 
-def _passed(rows: DataFrame, width: int, recent, growing, nodes, use) -> tuple[np.ndarray, np.ndarray, tuple[float, float]]:
+def _passed(rows: DataFrame, parts: int, width: int, recent, growing, nodes, use) -> tuple[np.ndarray, np.ndarray, tuple[float, float]]:
     """Gradient sums and row counts (node, feature, range), and the mean losses."""
     cells = rows.mapInArrow(_cells(width, recent, growing, nodes, use), "cell long, g double, n long")
-    found = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).collect()  # cells of one level
     shape = (max(1, len(nodes)), max(1, len(use)), 256)
-    sums, counts = np.zeros(shape), np.zeros(shape)
-    loss = {r["cell"]: r["g"] / r["n"] if r["n"] else float("nan") for r in found if r["cell"] < 0}
-    for r in found:
-        if r["cell"] >= 0:
-            place = np.unravel_index(r["cell"], shape)
-            sums[place], counts[place] = r["g"], r["n"]
-    return sums, counts, (loss.get(TRAIN_LOSS, float("nan")), loss.get(LATE_LOSS, float("nan")))
+    if parts * np.prod(shape) > DIRECT_CELLS:
+        cells = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+    found = cells.toArrow()  # cells of one level, at most DIRECT_CELLS before they are summed
+    place, g, n = (found.column(c).to_numpy() for c in ("cell", "g", "n"))
+    inner = place >= 0
+    sums = np.bincount(place[inner], g[inner], np.prod(shape)).reshape(shape)
+    counts = np.bincount(place[inner], n[inner], np.prod(shape)).reshape(shape)
+    totals = [(g[place == mark].sum(), n[place == mark].sum()) for mark in (TRAIN_LOSS, LATE_LOSS)]
+    return sums, counts, tuple(a / b if b else float("nan") for a, b in totals)
 
 
 def best_split(sums: np.ndarray, counts: np.ndarray, penalty: float) -> tuple[float, int, int, bool, tuple, tuple]:
@@ -207,10 +214,10 @@ def best_split(sums: np.ndarray, counts: np.ndarray, penalty: float) -> tuple[fl
     return best
 
 
-def _grown(rows, features, edges, recent, use, depth, step, penalty, least_gain) -> tuple[Tree, tuple[float, float]]:
+def _grown(rows, parts, features, edges, recent, use, depth, step, penalty, least_gain) -> tuple[Tree, tuple[float, float]]:
     tree, nodes, held, losses = Tree.empty(depth), [1], {}, None
     for level in range(depth):
-        sums, counts, loss = _passed(rows, len(features), recent, tree, nodes, use)
+        sums, counts, loss = _passed(rows, parts, len(features), recent, tree, nodes, use)
         losses = losses or loss
         if level == 0:
             held[1] = (sums[0, 0].sum(), counts[0, 0].sum())
@@ -272,9 +279,10 @@ def fit(
     model = start or Boosted(list(features), train.agg(F.avg("_y")).head()[0] or 0.0, [])
     rows = stage(known.mapInArrow(_codes(model.features, edges, model), "codes binary, y double, late boolean, margin double"), "boosting-rows")
     trees, losses, recent = list(model.trees), list(model.losses), []
+    parts = rows.rdd.getNumPartitions()
     while len(trees) < rounds:
         use = chosen_features(features, len(trees), share, seed)
-        tree, loss = _grown(rows, features, edges, recent, use, depth, step, penalty, least_gain)
+        tree, loss = _grown(rows, parts, features, edges, recent, use, depth, step, penalty, least_gain)
         losses = [*losses[: len(trees)], loss]
         if patience and (best := stopped_at([x[1] for x in losses[1:]], patience)):
             return replace(model, trees=trees[:best], losses=losses[: best + 1])
@@ -282,8 +290,8 @@ def fit(
         recent.append(tree)
         if len(recent) == ROUNDS_PER_STAGE:
             rows = stage(rows.mapInArrow(_advanced(len(features), recent), rows.schema), "boosting-rows")
-            recent = []
-    losses = [*losses[: len(trees)], _passed(rows, len(features), recent, Tree.empty(1), [], [])[2]]
+            recent, parts = [], rows.rdd.getNumPartitions()
+    losses = [*losses[: len(trees)], _passed(rows, parts, len(features), recent, Tree.empty(1), [], [])[2]]
     if patience:
         trees = trees[: int(np.argmin([x[1] for x in losses[1:]])) + 1] if len(losses) > 1 else trees
     return replace(model, trees=trees, losses=losses[: len(trees) + 1])

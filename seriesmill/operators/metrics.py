@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -134,6 +135,48 @@ def improvement_over(metrics: DataFrame, base: str) -> DataFrame:
     )
 
 
+#: P(Poisson(1) <= k) for k = 0, 1, ..; a draw beyond the last one counts as one more.
+POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8)]
+
+
+def resampling_weight(idx: Column, replicate: Column, seed: int = 42) -> Column:
+    """How often a row occurs in a bootstrap replicate: a Poisson draw from a hash of both, the same on any layout."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), idx.cast("string"), replicate.cast("string"))), 1, 8)
+    drawn = F.conv(digits, 16, 10).cast("double") / float(1 << 32)
+    return sum(((drawn >= limit).cast("int") for limit in POISSON), F.lit(0))
+
+
+def bootstrap_scores(
+    predictions: DataFrame, keys: Sequence[str] = ("model",), replicates: int = 200, seed: int = 42, idx: str = "idx"
+) -> DataFrame:
+    """(keys.., replicate, n, rmse, mae) on rows drawn with replacement: all replicates in one aggregation.
+
+    Every row meets its replicates in its own task and is summed there; only sums are shuffled.
+    """
+    each = predictions.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    weighed = each.withColumn("_w", resampling_weight(F.col(idx), F.col("replicate"), seed)).where("_w > 0")
+    error = F.col("actual") - F.col("predicted")
+    sums = weighed.groupBy(*keys, "replicate").agg(
+        F.sum("_w").alias("n"), F.sum(F.col("_w") * error * error).alias("_squares"), F.sum(F.col("_w") * F.abs(error)).alias("_sizes")
+    )
+    return sums.select(*keys, "replicate", "n", F.sqrt(F.col("_squares") / F.col("n")).alias("rmse"), (F.col("_sizes") / F.col("n")).alias("mae"))
+
+
+def bootstrap_intervals(
+    predictions: DataFrame,
+    keys: Sequence[str] = ("model",),
+    replicates: int = 200,
+    coverage: float = 0.9,
+    seed: int = 42,
+    idx: str = "idx",
+) -> DataFrame:
+    """(keys.., replicates, rmse_lower, rmse_median, rmse_upper, mae_lower, mae_median, mae_upper)."""
+    tails = {"lower": (1 - coverage) / 2, "median": 0.5, "upper": (1 + coverage) / 2}
+    found = bootstrap_scores(predictions, keys, replicates, seed, idx).groupBy(*keys)
+    ends = [F.percentile(c, F.lit(p)).alias(f"{c}_{name}") for c in ("rmse", "mae") for name, p in tails.items()]
+    return found.agg(F.count("*").alias("replicates"), *ends)
+
+
 def prediction_intervals(
     fitted: DataFrame, scored: DataFrame, coverage: float = 0.9, predicted: str = "predicted"
 ) -> DataFrame:

@@ -1,7 +1,7 @@
 """Time-series columns: lags, rolling means, differences, fills and supervised windows.
 
 All functions take rows that carry a position column (see ``order.with_position``).
-Frames count rows, never calendar time.
+Frames count rows; only ``change_since`` looks back by time, and takes rows without a position.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from seriesmill.operators.order import BLOCK_ROWS, nearest_known, over_blocks, running_total
+from seriesmill.operators.order import BLOCK_ROWS, nearest_known, over_blocks, running_total, with_position
 
 
 def lag_with_head(name: str, window: WindowSpec) -> Column:
@@ -135,6 +135,28 @@ def velocity(df: DataFrame, column: str, steps: Sequence[int] = (7, 30), **where
     )
 
 
+def change_since(
+    df: DataFrame, column: str, at: str, tie: str, days: Sequence[int] = (7, 30), keys: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``<column>_change_<d>d``: the value less the last known one of at least d days before the row's time.
+
+    ``tie`` is unique and orders rows of the same time. The look-back has no bound in rows or time: for every row and d a
+    probe is put at the earlier time, after all rows of that time; rows and probes get one order, and
+    probes take the nearest known value before them by blocks. Null where nothing is known so early; a null time gives null.
+    """
+    own = [*keys, F.col(at).alias("_at"), F.col(tie).alias("_tie")]
+    rows = df.where(F.col(at).isNotNull()).select(*own, F.lit(0).alias("_days"), F.col(column).alias("_value"))
+    spans = F.explode(F.array(*[F.lit(d) for d in days]))
+    probes = df.where(F.col(at).isNotNull()).select(*own, spans.alias("_days"))
+    probes = probes.withColumns({"_at": F.col("_at") - F.make_dt_interval("_days"), "_value": F.lit(None).cast(df.schema[column].dataType)})
+    probes = probes.withColumn("_at", F.col("_at").cast(df.schema[at].dataType))
+    placed = with_position(rows.unionByName(probes), [*keys, "_at", "_days", "_tie"], "_idx")
+    seen = nearest_known(placed, ["_value"], "last", keys, "_idx").where("_days > 0")
+    earlier = seen.groupBy("_tie").agg(*[F.max(F.when(F.col("_days") == d, F.col("_value_filled"))).alias(f"_{d}") for d in days])
+    changes = {f"{column}_change_{d}d": F.col(column) - F.col(f"_{d}") for d in days}
+    return df.join(earlier, F.col(tie) == F.col("_tie"), "left").withColumns(changes).drop("_tie", *[f"_{d}" for d in days])
+
+
 def future_targets(df: DataFrame, column: str, horizons: Sequence[int] = (1, 2, 3), **where):
     """Add ``<column>_ahead_<h>``: the value h rows later, null at the end of the series."""
     return over_blocks(
