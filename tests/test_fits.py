@@ -1,4 +1,5 @@
 import math
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -69,13 +70,13 @@ def test_change_by_days(spark, keys):
     rng = np.random.default_rng(5)
     days = np.sort(rng.integers(0, 120, 90))
     days[60:] += 200
-    rows = [(int(i), ["a", "b"][i % 2], None if i == 3 else pd.Timestamp("2024-01-01") + pd.Timedelta(days=int(d), hours=int(i % 3)), None if i % 11 == 5 else float(rng.integers(100))) for i, d in enumerate(days)]
+    rows = [(int(i), ["a", "b"][i % 2], None if i == 3 else datetime(2024, 1, 1) + timedelta(days=int(d), hours=int(i % 3)), None if i % 11 == 5 else float(rng.integers(100))) for i, d in enumerate(days)]
     frame = spark.createDataFrame(rows, "id long, k string, t timestamp, v double").repartition(3)
     found = {r.id: r for r in windows.change_since(frame, "v", "t", "id", (7, 30), keys).collect()}
     assert len(found) == len(rows)
     for i, k, t, v in rows:
         for d in (7, 30):
-            known = [(u, j, w) for j, q, u, w in rows if u is not None and w is not None and t is not None and u <= t - pd.Timedelta(days=d) and (not keys or q == k)]
+            known = [(u, j, w) for j, q, u, w in rows if u is not None and w is not None and t is not None and u <= t - timedelta(days=d) and (not keys or q == k)]
             wanted = v - max(known)[2] if known and v is not None else None
             assert found[i][f"v_change_{d}d"] == wanted
 
