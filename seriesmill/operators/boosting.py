@@ -194,7 +194,7 @@ def _passed(rows: DataFrame, parts: int, width: int, recent, growing, nodes, use
     sums = np.bincount(place[inner], g[inner], np.prod(shape)).reshape(shape)
     counts = np.bincount(place[inner], n[inner], np.prod(shape)).reshape(shape)
     totals = [(g[place == mark].sum(), n[place == mark].sum()) for mark in (TRAIN_LOSS, LATE_LOSS)]
-    return sums, counts, tuple(a / b if b else float("nan") for a, b in totals)
+    return sums, counts, tuple(float(a / b) if b else float("nan") for a, b in totals)
 
 
 def best_split(sums: np.ndarray, counts: np.ndarray, penalty: float) -> tuple[float, int, int, bool, tuple, tuple]:
