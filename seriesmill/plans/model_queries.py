@@ -190,7 +190,21 @@ def early_stopped_trees(spark, folder):
     return _scores(model, rows, "stopped_trees").withColumn("trees", F.lit(used))
 
 
-@query("H5 C11 F3 E4 G7")
+@query(
+    "H5 C11 F3 E4 G7",
+    given(
+        "obs",
+        f"""+ spent AS (SELECT *, row_number() OVER (ORDER BY obs_ts, obs_id) - 1 AS i,
+                           count(*) OVER () AS total FROM obs WHERE spend IS NOT NULL),
+        t0 AS (SELECT qty AS amount, i < floor(total * 0.8) AS train, spend, {_FEATURE_SQL} FROM spent),
+        """
+        + partialled(_FEATURES, "spend", "amount")
+        + """
+        SELECT CASE WHEN amount <= 100 THEN 'Low (<100)' WHEN amount <= 200 THEN 'Mid (100-200)' ELSE 'High (>200)' END AS qty_group,
+               count(*) AS n, round(avg(abs(residual)), 3) AS mean_abs_error
+        FROM fitted WHERE amount > 0 AND amount <= 300 GROUP BY 1""",
+    ),
+)
 def spend_error_report(spark, folder):
     rows = _spend_rows(spark, folder)
     model = learn.fit(rows, learn.linear("spend"), DRIVERS, "season", _train())
@@ -199,7 +213,7 @@ def spend_error_report(spark, folder):
     group = right_closed_bin(F.col("qty"), [0, 100, 200, 300], labels)
     binned = scored.withColumn("qty_group", group)
     return rounded(
-        aggregates.mean_by_bin(binned, "qty_group", "abs_error"), ["mean_abs_error"], 4
+        aggregates.mean_by_bin(binned, "qty_group", "abs_error"), ["mean_abs_error"], 3
     )
 
 

@@ -381,10 +381,19 @@ def leakage_report(spark, folder):
     return splits.leakage_check(rows, time="obs_ts")
 
 
-@query("P4")
+@query(
+    "P4",
+    given(
+        "ord",
+        """+ s AS (SELECT idx, obs_ts, ('0x' || substr(md5('42:' || idx), 1, 8))::BIGINT / 4294967296.0 < 0.2 AS test FROM ord)
+        SELECT count(*) FILTER (NOT test) AS train_rows, count(*) FILTER (test) AS test_rows,
+               max(idx) FILTER (NOT test) < min(idx) FILTER (test)
+               AND max(obs_ts) FILTER (NOT test) <= min(obs_ts) FILTER (test) AS in_order FROM s""",
+    ),
+)
 def random_split_leak(spark, folder):
     rows = splits.random_split(ordered(spark, folder, ["price"]))
-    return splits.leakage_check(rows, time="obs_ts").select("in_order")
+    return splits.leakage_check(rows, time="obs_ts").select("train_rows", "test_rows", "in_order")
 
 
 @query(
