@@ -11,16 +11,18 @@ from pyspark.ml.feature import (
     MinMaxScaler,
     OneHotEncoder,
     StandardScaler,
+    StandardScalerModel,
     StringIndexer,
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import share_of_total, without_step_prefix
 from seriesmill.operators.splits import fold_bounds
+from seriesmill.sources.publish import publish, recover
 
 FEATURES = "features"
 
@@ -178,9 +180,73 @@ def cross_validate(
     return reduce(DataFrame.unionByName, tested)
 
 
+#: A fitted linear model as a table: one row per feature, one for the intercept. A category's dummy has its ``level``.
+PARAMETERS = "feature string, level string, coefficient double, mean double, deviation double"
+
+
+def linear_parameters(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """What a linear model has learned: coefficients with the mean and deviation its numeric features are scaled by.
+
+    The intercept has no feature. A constant feature has deviation 0 and counts as 0.
+    """
+    steps = {s.__class__.__name__: s for s in model.stages}
+    fitted, indexer = model.stages[-1], steps.get("StringIndexerModel")
+    scaler, factor = steps["StandardScalerModel"], steps["ElementwiseProduct"].getScalingVec()
+    inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    slopes = [float(v) for v in fitted.coefficients.toArray()]
+    rows = [(None, None, float(fitted.intercept), None, None)]
+    if indexer:
+        rows += [(indexer.getInputCol(), level, slopes[i], None, None) for i, level in enumerate(indexer.labels[:-1])]
+        # The level left out is known as well, at 0: another level is an error, as in the pipeline.
+        rows.append((indexer.getInputCol(), indexer.labels[-1], 0.0, None, None))
+    first = len(slopes) - len(inputs)
+    for i, name in enumerate(inputs):
+        rows.append((name, None, slopes[first + i], float(scaler.mean[i]), float(scaler.std[i]) / float(factor[i])))
+    return spark.createDataFrame(rows, PARAMETERS)
+
+
+def score_by_parameters(df: DataFrame, parameters: DataFrame, out: str = "predicted") -> DataFrame:
+    """Add the prediction of a linear model from its parameter table, by column expressions only.
+
+    A null feature gives a null prediction; an unknown level is an error.
+    """
+    rows = parameters.collect()  # one row per feature
+    total, categories = F.lit(0.0), {}
+    for row in rows:
+        if row["feature"] is None:
+            total = total + F.lit(row["coefficient"])
+        elif row["level"] is not None:
+            categories.setdefault(row["feature"], {})[row["level"]] = row["coefficient"]
+        elif row["deviation"]:
+            scaled = (F.col(row["feature"]).cast("double") - F.lit(row["mean"])) / F.lit(row["deviation"])
+            total = total + F.lit(row["coefficient"]) * scaled
+    for name, levels in categories.items():
+        unknown = F.raise_error(F.concat(F.lit(f"unknown level of {name}: "), F.col(name))).cast("double")
+        part = F.when(F.col(name).isNull(), F.lit(None).cast("double"))
+        for level, slope in levels.items():
+            part = part.when(F.col(name) == level, F.lit(slope))
+        total = total + part.otherwise(unknown)
+    return df.withColumn(out, total)
+
+
 def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Publish the fitted pipeline, all or nothing; a linear one with its parameters as a table beside the stages."""
+    spark = SparkSession.active()
+
+    def write(folder: str) -> None:
+        model.write().save(folder)
+        if isinstance(model.stages[-1], LinearRegressionModel) and any(isinstance(s, StandardScalerModel) for s in model.stages):
+            linear_parameters(spark, model).coalesce(1).write.parquet(f"{folder}/parameters")
+
+    publish(spark, path, write)
 
 
 def load(path: str) -> PipelineModel:
+    recover(SparkSession.active(), path)
     return PipelineModel.load(path)
+
+
+def load_parameters(spark: SparkSession, path: str) -> DataFrame:
+    """The parameter table of a saved linear model."""
+    recover(spark, path)
+    return spark.read.schema(PARAMETERS).parquet(f"{path}/parameters")

@@ -14,14 +14,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesmill.functions.columns import numeric_columns, right_closed_bin
 from seriesmill.operators import aggregates, features, forecast, learn, metrics, order, splits
 from seriesmill.operators.features import PRICE_FEATURES, FeatureSpec
 from seriesmill.session import build_session, stage
-from seriesmill.sources.files import FILE_ORDER, read_csv, write_table
+from seriesmill.sources.files import FILE_ORDER, PRICE_SCHEMA, read_csv, write_table
+from seriesmill.sources.publish import read_published
 
 LAGS, WINDOW = 5, 12
+#: Models of single rows: least squares and boosted trees.
+ROW_MODELS = ("linear", "trees")
 RAIN_EDGES = [0, 100, 200, 300]
 RAIN_LABELS = ["Low (<100mm)", "Mid (100-200mm)", "High (>200mm)"]
 
@@ -34,20 +38,21 @@ def preprocess(
     fit_on_all: bool = False,
     test_fraction: float = 0.2,
     kind: str = "parquet",
+    spec: FeatureSpec = PRICE_FEATURES,
+    schema: T.StructType = PRICE_SCHEMA,
 ) -> DataFrame:
-    """CSV in, engineered table out; returns the written table.
+    """CSV of ``schema`` in, engineered table out; returns the written table.
 
-    Rows are ordered by ``order_by``, or as they stand in the file. The position is
+    The output replaces an earlier one only when it is whole. Rows are ordered by ``order_by``, or as they stand in the file. The position is
     kept as ``idx``. Means for nulls come from the training part unless ``fit_on_all``.
     """
-    raw = read_csv(spark, source, file_order=not order_by)
+    raw = read_csv(spark, source, schema, file_order=not order_by)
     placed = order.with_position(raw, order_by or FILE_ORDER).drop(*FILE_ORDER)
     cut = splits.cut_position(placed.count(), test_fraction)
     fit_on = None if fit_on_all else F.col("idx") < cut
-    made = splits.compact_position(features.engineer(placed, PRICE_FEATURES, fit_on))
+    made = splits.compact_position(features.engineer(placed, spec, fit_on))
     write_table(made, target, kind)
-    reader = spark.read.schema(made.schema)
-    return reader.parquet(target) if kind == "parquet" else reader.csv(target, header=True)
+    return read_published(spark, target, made.schema)
 
 
 @dataclass(frozen=True)
@@ -65,7 +70,7 @@ class Inputs:
 
 
 def _inputs(spark: SparkSession, path: str, spec: FeatureSpec, fraction: float) -> Inputs:
-    rows = spark.read.parquet(path)
+    rows = read_published(spark, path)
     months = aggregates.monthly_mean(rows, spec.target, spec.year, spec.month)
     months = order.with_position(months, ["month_start"])
     return Inputs(
@@ -86,8 +91,9 @@ def train(
     folds: int = 5,
     fit_on_all: bool = False,
     test_fraction: float = 0.2,
+    row_models: Sequence[str] = ROW_MODELS,
 ) -> DataFrame:
-    """Fit and save all models; returns the cross-validation scores of the trees per fold.
+    """Fit and save the monthly models and ``row_models``; returns the cross-validation scores of the trees per fold.
 
     Models see the training part only. ``fit_on_all`` fits them on every row, test
     rows included, for comparison with results obtained that way.
@@ -104,7 +110,8 @@ def train(
     def trees():
         return learn.boosted_trees(spec.target, rounds)
 
-    for name, regressor in (("linear", learn.linear(spec.target)), ("trees", trees())):
+    for name in row_models:
+        regressor = learn.linear(spec.target) if name == "linear" else trees()
         fitted = learn.fit(given.rows, regressor, given.numeric, spec.category, early)
         learn.save(fitted, f"{models}/{name}")
     if not folds:
@@ -121,6 +128,7 @@ def evaluate(
     spec: FeatureSpec = PRICE_FEATURES,
     whole_series: bool = False,
     test_fraction: float = 0.2,
+    row_models: Sequence[str] = ROW_MODELS,
 ) -> DataFrame:
     """Comparison of the saved models: (model, grain, n, rmse, mae, mape_pct, r2).
 
@@ -132,16 +140,16 @@ def evaluate(
     late = given.rows.where(F.col("idx") >= given.cut)
     changes = forecast.change_lags(given.months, "price", LAGS)
     auto = forecast.predict_autoregression(
-        changes, spark.read.parquet(f"{models}/autoregression"), "price", LAGS
+        changes, read_published(spark, f"{models}/autoregression"), "price", LAGS
     )
     window = forecast.predict_window_model(
-        given.months, spark.read.parquet(f"{models}/window"), "price", WINDOW
+        given.months, read_published(spark, f"{models}/window"), "price", WINDOW
     )
     parts = [
         metrics.as_predictions(found.where(late_months), name, "month", "price", "predicted")
         for name, found in (("autoregression(5,1,0)", auto), ("window(12)", window))
     ]
-    for name in ("linear", "trees"):
+    for name in row_models:
         scored = learn.score(learn.load(f"{models}/{name}"), late)
         parts.append(metrics.as_predictions(scored, name, "row", spec.target, "predicted"))
     return metrics.compare_models(parts).orderBy("rmse")
@@ -158,11 +166,12 @@ def error_report(
     show: Sequence[str] = (),
     k: int = 20,
     test_fraction: float = 0.2,
+    model: str = "trees",
 ) -> dict[str, DataFrame]:
-    """Tables on where the trees fail, over all rows: residuals, worst rows, error by bin, features."""
-    rows = splits.temporal_split(spark.read.parquet(source), test_fraction)
-    model = learn.load(f"{models}/trees")
-    scored = metrics.with_errors(learn.score(model, rows), spec.target)
+    """Tables on where a saved model (the trees, or ``linear``) fails, over all rows: residuals, worst rows, error by bin, features."""
+    rows = splits.temporal_split(read_published(spark, source), test_fraction)
+    fitted = learn.load(f"{models}/{model}")
+    scored = metrics.with_errors(learn.score(fitted, rows), spec.target)
     scored = stage(
         scored.withColumn("bin", right_closed_bin(F.col(bin_by), edges, labels)), "scored"
     )
@@ -172,7 +181,7 @@ def error_report(
         "residuals_by_split": metrics.regression_metrics(scored, ["split"], actual=spec.target),
         "worst": metrics.worst_predictions(scored, k).select(*columns),
         "error_by_bin": aggregates.mean_by_bin(scored, "bin", "abs_error"),
-        "features": learn.top_features(learn.importance(model, rows), 15),
+        "features": learn.top_features(learn.importance(fitted, rows), 15),
     }
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesmill.functions.columns import nan_to_null
+from seriesmill.sources.publish import publish_table
 
 # The columns of the price observation file, in file order.
 PRICE_COLUMNS = {
@@ -68,13 +69,5 @@ def read_csv(
 def write_table(
     df: DataFrame, path: str, kind: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
-    """Write the table as parquet (default) or headed CSV, replacing what is there."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if kind == "parquet":
-        writer.parquet(path)
-    elif kind == "csv":
-        writer.option("header", True).csv(path)
-    else:
-        raise ValueError(f"unknown kind {kind!r}")
+    """Write the table as parquet (default) or headed CSV, replacing what is there only once it is whole."""
+    publish_table(df, path, kind, partition_by)
