@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import numeric_columns
 from seriesmill.functions.moments import sample_kurtosis, sample_skewness
-from seriesmill.operators.quantiles import exact_quantiles, long_form
+from seriesmill.operators.quantiles import exact_quantiles
 from seriesmill.session import lookup
 
 
@@ -142,8 +144,8 @@ def density(
 ) -> DataFrame:
     """(point, x, density): Gaussian kernel density on an even grid between the extremes.
 
-    Bandwidth by Scott's rule. Each value adds to every grid point inside its task,
-    so what is shuffled is one partial sum per grid point and task. With ``cells``
+    Bandwidth by Scott's rule. A task adds its values into one vector over the grid,
+    so no row is copied and one partial sum per grid point and task is shuffled. With ``cells``
     the values are first merged into that many equal-width cells, each standing for
     its rows at their mean: an approximation that costs one exponential per cell and
     grid point instead of one per row and grid point.
@@ -163,21 +165,34 @@ def density(
         weighted = weighted.groupBy(F.least(cell, F.lit(cells - 1)).alias("_cell")).agg(
             F.avg("_value").alias("_value"), F.count(F.lit(1)).alias("_weight")
         )
-    x = F.lit(low) + F.col("point") * F.lit(step)
-    distance = (x - F.col("_value")) / F.lit(bandwidth)
-    kernel = F.col("_weight") * F.exp(-0.5 * distance * distance)
-    return (
-        weighted.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-        .groupBy("point")
-        .agg(F.sum(kernel).alias("_sum"))
-        .select(
-            F.col("point").cast("int").alias("point"),
-            x.alias("x"),
-            (F.col("_sum") / F.lit(n * bandwidth * math.sqrt(2 * math.pi))).alias("density"),
-        )
+    sums = weighted.select("_value", F.col("_weight").cast("double")).mapInArrow(
+        _kernel_sums(low, step, points, bandwidth), "point int, _sum double"
+    )
+    return sums.groupBy("point").agg(
+        F.first(F.lit(low) + F.col("point") * F.lit(step)).alias("x"),
+        (F.sum("_sum") / F.lit(n * bandwidth * math.sqrt(2 * math.pi))).alias("density"),
     )
 
 
+#: Values met with the whole grid at a time.
+_KERNEL_ROWS = 4096
+
+
+def _kernel_sums(low: float, step: float, points: int, bandwidth: float):
+    """One vector of sums over the grid per task, returned once as (point, sum)."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid, held = low + np.arange(points) * step, np.zeros(points)
+        for batch in source:
+            values, weights = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for at in range(0, len(values), _KERNEL_ROWS):
+                distance = (grid[:, None] - values[at : at + _KERNEL_ROWS]) / bandwidth
+                held += np.exp(-0.5 * distance * distance) @ weights[at : at + _KERNEL_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(range(points), pa.int32()), pa.array(held)], ["point", "_sum"])
+
+    return run
+
+
 def box_plot(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Box-plot numbers per column (and group).
 
@@ -197,15 +212,27 @@ def box_plot(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
             ]
         )
     )
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return (
-        long_form(df, columns, by)
-        .join(lookup(boxes), group)
-        .groupBy(*group, "q1", "median", "q3")
-        .agg(
-            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+    # Boxes of a group stand side by side in one row, so rows are met as they are, without a copy per column.
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    box = F.struct("q1", "median", "q3")
+    wide = boxes.groupBy(key.alias("_by")).agg(
+        *[F.first(F.when(F.col("column_name") == c, box), ignorenulls=True).alias(f"_box{i}") for i, c in enumerate(columns)]
+    )
+    known = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_v{i}") for i, c in enumerate(columns)]
+    rows = df.select(key.alias("_by"), *known).join(lookup(wide), "_by")
+
+    def found(i: int, c: str) -> Column:
+        value, each = F.col(f"_v{i}"), F.col(f"_box{i}")
+        reach = 1.5 * (each["q3"] - each["q1"])
+        inside = value.between(each["q1"] - reach, each["q3"] + reach)
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            F.first(each, ignorenulls=True).alias("_box"),
+            F.min(F.when(inside, value)).alias("whisker_low"),
+            F.max(F.when(inside, value)).alias("whisker_high"),
             F.count_if(~inside).alias("outliers"),
         )
-    )
+
+    each = rows.groupBy("_by").agg(F.array(*[found(i, c) for i, c in enumerate(columns)]).alias("_all"))
+    each = each.select("_by", F.inline("_all")).where("_box IS NOT NULL")
+    return each.select(*(["_by.*"] if by else []), "column_name", "_box.*", "whisker_low", "whisker_high", "outliers")

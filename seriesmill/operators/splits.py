@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.operators.aggregates import with_share
@@ -65,6 +67,32 @@ def expanding_folds(df: DataFrame, folds: int = 5, idx: str = "idx") -> DataFram
     )
 
 
+def fold_segment(bounds: list[tuple[int, int, int]], idx: str = "idx") -> Column:
+    """The fold a row is tested in; 0 for rows that are only trained on. Fold k is trained on the segments before k."""
+    return sum(((F.col(idx) >= start).cast("int") for _, start, _ in bounds), F.lit(0))
+
+
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
+def fold_aggregates(
+    df: DataFrame, wanted: Mapping[str, tuple[str, Column]], folds: int = 5, idx: str = "idx", rows: int | None = None
+) -> DataFrame:
+    """(fold, role, name..) of expanding folds without a copy of any row.
+
+    ``wanted`` maps names to a merge ("sum", "min" or "max") and a value per row. Rows are aggregated to folds + 1 segments;
+    the training part of a fold is what its earlier segments merge to. ``rows`` saves the count if it is known.
+    """
+    bounds = fold_bounds(df.count() if rows is None else rows, folds)
+    segments = df.groupBy(fold_segment(bounds, idx).alias("_segment")).agg(
+        *[_MERGE[how](value).alias(name) for name, (how, value) in wanted.items()]
+    )
+    # folds + 1 rows from here on: each counts for its own test and for the training of all later folds.
+    used = segments.select("*", F.explode(F.sequence(F.greatest("_segment", F.lit(1)), F.lit(folds))).alias("fold"))
+    role = F.when(F.col("fold") == F.col("_segment"), "test").otherwise("train")
+    return used.groupBy("fold", role.alias("role")).agg(*[_MERGE[how](name).alias(name) for name, (how, _) in wanted.items()])
+
+
 def split_by_target(
     windows: DataFrame, rows: int, train_share: float = 0.9, idx: str = "idx"
 ) -> DataFrame:

@@ -126,11 +126,13 @@ def error_by_quantity(spark, folder):
     ),
 )
 def fold_score_summary(spark, folder):
-    rows = splits.expanding_folds(ordered(spark, folder, ["price"]))
-    guess = (
-        rows.where(F.col("role") == "train").groupBy("fold").agg(F.avg("price").alias("predicted"))
-    )
-    tested = rows.where(F.col("role") == "test").join(lookup(guess), "fold")
+    rows = ordered(spark, folder, ["price"])
+    size = rows.count()
+    sums = {"total": ("sum", F.col("price")), "known": ("sum", F.col("price").isNotNull().cast("long"))}
+    trained = splits.fold_aggregates(rows, sums, rows=size).where(F.col("role") == "train")
+    guess = trained.select("fold", F.try_divide("total", "known").alias("predicted"))
+    fold = splits.fold_segment(splits.fold_bounds(size))
+    tested = rows.withColumn("fold", fold).where("fold > 0").join(lookup(guess), "fold")
     per_fold = metrics.regression_metrics(tested, ["fold"], actual="price")
     return rounded(metrics.fold_summary(per_fold), ["mean_rmse", "std_rmse"])
 

@@ -316,13 +316,17 @@ def temporal_train_test_split(spark, folder):
     ),
 )
 def expanding_window_folds(spark, folder):
-    rows = splits.expanding_folds(ordered(spark, folder, ["price"]))
-    return rows.groupBy("fold", "role").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("idx").alias("first_idx"),
-        F.max("idx").alias("last_idx"),
-        F.round(F.avg("price"), 6).alias("mean_price"),
-    )
+    known = F.col("price").isNotNull().cast("long")
+    wanted = {
+        "rows": ("sum", F.lit(1)),
+        "first_idx": ("min", F.col("idx")),
+        "last_idx": ("max", F.col("idx")),
+        "total": ("sum", F.col("price")),
+        "known": ("sum", known),
+    }
+    found = splits.fold_aggregates(ordered(spark, folder, ["price"]), wanted)
+    mean = F.round(F.try_divide("total", "known"), 6).alias("mean_price")
+    return found.select("fold", "role", "rows", "first_idx", "last_idx", mean)
 
 
 @query(

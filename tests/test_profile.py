@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -212,3 +213,26 @@ def test_feature_name_prefix(spark):
     frame = spark.createDataFrame([("scale__a",), ("cat__Season_x",), ("plain",)], "n string")
     found = [r[0] for r in frame.select(fc.without_step_prefix(F.col("n"))).collect()]
     assert found == ["a", "Season_x", "plain"]
+
+
+def test_quantiles_by_bad_sketch_are_exact(spark, monkeypatch):
+    """Brackets that miss their ranks are widened to the whole range; tied and infinite values too."""
+    from seriesmill.operators import quantiles as Q
+
+    random = np.random.default_rng(5)
+    x = np.r_[random.normal(size=900), np.zeros(300), [np.inf, -np.inf, 1e308]]
+    y = np.r_[random.integers(0, 3, 1203)].astype(float)
+    frame = spark.createDataFrame(pd.DataFrame({"x": x, "y": y})).repartition(5)
+    points = [0.0, 0.1, 0.25, 0.2505, 0.5, 0.99, 1.0]
+    plain = quantile_table(exact_quantiles(frame, ["x", "y"], points))
+    assert quantile_table(exact_quantiles(frame, ["x", "y"], points, exact_rows=10)) == plain
+    found = Q._sketched
+    monkeypatch.setattr(Q, "_sketched", lambda *a: found(*a).withColumn("marks", F.transform("marks", lambda m: F.col("lo"))))
+    assert quantile_table(exact_quantiles(frame, ["x", "y"], points, exact_rows=10)) == plain
+
+
+def test_box_plot_by_group_with_null_keys_and_columns_without_values(spark):
+    rows = [("a", float(v), None) for v in (1, 2, 3, 4, 100)] + [(None, float(v), float("nan")) for v in (5, 6, 7)]
+    frame = spark.createDataFrame(rows, "g string, x double, y double")
+    found = {(r["g"], r["column_name"]): r[2:] for r in profile.box_plot(frame, ["x", "y"], ["g"]).collect()}
+    assert found == {("a", "x"): (2, 3, 4, 1, 4, 1), (None, "x"): (5.5, 6, 6.5, 5, 7, 0)}

@@ -150,3 +150,15 @@ def test_too_many_categories(series):
 def test_label_codes(series):
     found = encode.label_codes(series(s=["b", "a", "c"]), "s", "code").orderBy("idx").collect()
     assert [r["code"] for r in found] == [1, 0, 2]
+
+
+def test_fold_aggregates_equal_copied_folds(series):
+    rows = series(x=[float(v * v % 7) for v in range(23)])
+    wanted = {"rows": ("sum", F.lit(1)), "total": ("sum", F.col("x")), "low": ("min", F.col("x")), "high": ("max", F.col("x"))}
+    found = splits.fold_aggregates(rows, wanted, 4).select("fold", "role", "rows", "total", "low", "high")
+    copied = splits.expanding_folds(rows, 4).groupBy("fold", "role").agg(
+        F.count("*").alias("rows"), F.sum("x").alias("total"), F.min("x").alias("low"), F.max("x").alias("high")
+    )
+    assert sorted(found.collect()) == sorted(copied.collect()) and found.count() == 8
+    with pytest.raises(ValueError):
+        splits.fold_aggregates(rows.limit(0), wanted, 4)
