@@ -13,7 +13,9 @@ id is drawn by the hash of an empty id. Other columns stay as they are; an empty
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,9 +27,9 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Targets are the own shares raised to this power (1 keeps them, 0 makes all categories equal).
 FLATTEN = 0.5
 KEEP = 0.5
-ROUNDS = 20
 ROUNDS_PER_STAGE = 5
-SCALE_STEPS = 8
+#: Shares this near to their targets are met; rounds that leave more than this part of the gap no longer help.
+TOLERANCE, SLOWEST = 1e-9, 0.999
 
 
 def n_tokens(text: Column) -> Column:
@@ -52,25 +54,42 @@ def flattened_targets(cells: DataFrame, dimensions: Sequence[str], power: float)
     return out
 
 
-def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def _largest_gap(cells: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """How far the worst category's share is from its target; targets of absent categories do not count."""
+    parts = [
+        cells.groupBy(name).agg(F.abs(F.sum("weight") / F.first("total") - F.coalesce(F.first(f"_share_{name}"), F.lit(0.0))).alias("gap")).select("gap")
+        for name in targets
+    ]
+    return reduce(DataFrame.unionAll, parts).agg(F.max("gap")).head()[0] or 0.0 if parts else 0.0
+
+
+def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """The cells with a column ``weight``: their tokens fitted to the target shares, in all the tokens of the cells.
 
-    Categories without a target get no weight. Where targets contradict (a category whose cells have no tokens)
-    the rounds end at the nearest fit of the last dimension.
+    Rounds go on until every share is within ``TOLERANCE`` of its target. Categories without a target get no weight.
+    Where targets contradict, so that rounds stop bringing them nearer, the last dimension is met and a warning
+    says how far off the others stay.
     """
     total = F.sum("tokens").over(Window.partitionBy()).cast("double")
     out = cells.filter("tokens > 0").withColumn("total", total).withColumn("weight", F.col("tokens").cast("double"))
     for name, shares in targets.items():
         renamed = shares.select(F.col(name).alias("_category"), F.col("share").alias(f"_share_{name}"))
         out = out.join(renamed, out[name].eqNullSafe(F.col("_category")), "left").drop("_category")
-    out = stage(out, "cells")
-    for turn in range(rounds):
-        for name in targets:
-            held = F.sum("weight").over(Window.partitionBy(name))
-            fitted = F.col("weight") * F.coalesce(F.col(f"_share_{name}"), F.lit(0.0)) * F.col("total") / held
-            out = out.withColumn("weight", F.when(held > 0, fitted).otherwise(0.0))
-        if (turn + 1) % ROUNDS_PER_STAGE == 0:
-            out = stage(out, "raked")
+    out, last = stage(out, "cells"), None
+    while True:
+        for _ in range(ROUNDS_PER_STAGE):
+            for name in targets:
+                held = F.sum("weight").over(Window.partitionBy(name))
+                fitted = F.col("weight") * F.coalesce(F.col(f"_share_{name}"), F.lit(0.0)) * F.col("total") / held
+                out = out.withColumn("weight", F.when(held > 0, fitted).otherwise(0.0))
+        out = stage(out, "raked")
+        gap = _largest_gap(out, targets)
+        if gap <= TOLERANCE:
+            break
+        if last is not None and gap > SLOWEST * last:
+            warnings.warn(f"targets contradict the cells: a share stays {gap:.2g} off its target", stacklevel=2)
+            break
+        last = gap
     return out.select(*cells.columns, "weight")
 
 
@@ -79,7 +98,8 @@ def probabilities(cells: DataFrame, keep: float) -> DataFrame:
     cells = stage(cells.withColumn("factor", F.round(F.col("weight") / F.col("tokens"), 9)), "factors")
     all_tokens = cells.agg(F.sum("tokens")).head()[0]
     scale = keep
-    for _ in range(SCALE_STEPS if all_tokens else 0):
+    # Every step but the last finds further cells full, so the steps end.
+    while all_tokens:
         full = F.col("factor") * scale >= 1
         held = cells.agg(
             F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"),
@@ -87,7 +107,10 @@ def probabilities(cells: DataFrame, keep: float) -> DataFrame:
         ).head()
         if not held["rest"] or held["full"] >= keep * all_tokens:
             break
-        scale = max(scale, (keep * all_tokens - held["full"]) / held["rest"])
+        needed = (keep * all_tokens - held["full"]) / held["rest"]
+        if needed <= scale * (1 + 1e-12):
+            break
+        scale = needed
     return cells.withColumn("probability", F.round(F.least(F.lit(1.0), F.col("factor") * scale), 6))
 
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from seriesmill.llm import mixing
 from pyspark.sql import functions as F
 
@@ -34,3 +36,44 @@ def test_odd_rows(spark):
     assert len({r.kept for r in found if r.doc_id == 3}) == 1
     kept = mixing.sampled(docs)
     assert kept.columns == docs.columns and 1 in {r.doc_id for r in kept.collect()}
+
+
+def raked_plainly(cells, targets, rounds):
+    """Weights by nested loops: {cell: weight} from {cell: tokens} and one {category: share} per dimension."""
+    total, weight = sum(cells.values()), {c: float(t) for c, t in cells.items() if t}
+    for _ in range(rounds):
+        for d, shares in enumerate(targets):
+            held = {}
+            for c, w in weight.items():
+                held[c[d]] = held.get(c[d], 0.0) + w
+            weight = {c: w * shares.get(c[d], 0.0) * total / held[c[d]] if held[c[d]] else 0.0 for c, w in weight.items()}
+    return weight
+
+
+def test_raking_equals_plain_version(spark):
+    rng = random.Random(3)
+    cells = {(s, l, t): rng.choice([0, 5, 40, 900]) for s in ("hot", "b", None) for l in ("en", None) for t in ("x", "y", "z") if rng.random() < 0.9}
+    frame = spark.createDataFrame([(*c, n, 1) for c, n in cells.items()], "source string, lang string, topic string, tokens long, n_docs long")
+    targets = mixing.flattened_targets(frame, mixing.DIMENSIONS, 0.5)
+    wanted = raked_plainly(cells, [{r[0]: r[1] for r in targets[d].collect()} for d in mixing.DIMENSIONS], 400)
+    fitted = mixing.raked(frame, targets)
+    found = {(r.source, r.lang, r.topic): r.weight for r in fitted.collect()}
+    total = sum(cells.values())
+    assert found.keys() == wanted.keys() and all(abs(found[c] - wanted[c]) < 1e-6 * total for c in wanted)
+    # The scale meets the wanted tokens unless all cells are full.
+    for keep in (0.1, 0.5, 0.9, 1.0):
+        rows = mixing.probabilities(fitted, keep).collect()
+        assert abs(sum(r.tokens * r.probability for r in rows) - keep * total) < 1e-4 * total
+        assert all(0 <= r.probability <= 1 for r in rows)
+
+
+def test_contradicting_targets_are_said(spark):
+    cells = spark.createDataFrame([("a", "en", "x", 10, 1), ("b", "fr", "x", 10, 1)], "source string, lang string, topic string, tokens long, n_docs long")
+    wanted = {
+        "source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"),
+        "lang": spark.createDataFrame([("en", 0.2), ("fr", 0.8)], "lang string, share double"),
+    }
+    with pytest.warns(UserWarning, match="contradict"):
+        fitted = mixing.raked(cells, wanted)
+    assert {r.lang: round(r.weight, 6) for r in fitted.collect()} == {"en": 4.0, "fr": 16.0}
+    assert mixing.raked(cells.limit(0), wanted).count() == 0

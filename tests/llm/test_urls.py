@@ -1,5 +1,9 @@
+import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from seriesmill.llm import urls
 
 
@@ -46,3 +50,89 @@ def test_templates(spark):
         if row.rule is None:
             assert row.verdict == ("block" if kind == "shop" else "allow"), row
     assert len({r.template for r in found if r.path.startswith("/user")}) == 1
+
+
+def plain_tree(shapes):
+    """{(host, shape): (template, purity)} by nested loops, from {(host, shape): [rows, bad, good]}."""
+    out = {}
+    for host in {h for h, _ in shapes}:
+        mine = {shape: counts for (h, shape), counts in shapes.items() if h == host}
+
+        def walk(members, level, prefix, prior):
+            total = [sum(mine[m][i] for m in members) for i in range(3)]
+            share = (total[1] + prior * urls.STRENGTH) / (total[1] + total[2] + urls.STRENGTH)
+            if level == urls.LEVELS:
+                leaf.setdefault(prefix, [prior, []])[1].extend(members)
+                return
+            passed = prior + (total[1] + total[2]) / total[0] * (share - prior)
+            segs = {}
+            for m in members:
+                parts = (m[1:] if m.startswith("/") else m).split("/")
+                seg = "" if level >= len(parts) else "/" + ("/".join(parts[level:]) if level == urls.LEVELS - 1 else parts[level])
+                segs.setdefault(seg, []).append(m)
+            kinds = {}
+            for seg, held in segs.items():
+                few = sum(mine[m][0] for m in held) / total[0] < urls.LITERAL_SHARE
+                kinds.setdefault("/*" if seg and few else seg, []).extend(held)
+            bad = {k: sum(mine[m][1] for m in held) for k, held in kinds.items() if k}
+            known = {k: n for k in bad if (n := bad[k] + sum(mine[m][2] for m in kinds[k]))}
+            steps = {}
+            for k, held in kinds.items():
+                step = k
+                if k in known and len(known) > 1:
+                    pooled = sum(bad[j] for j in known) / sum(known.values())
+                    if abs(bad[k] / known[k] - pooled) <= urls.DIFFERENT * (pooled * (1 - pooled) / known[k]) ** 0.5:
+                        step = "/+"
+                steps.setdefault(step, []).extend(held)
+            for step, held in steps.items():
+                if step == "":
+                    leaf.setdefault(prefix, [passed, []])[1].extend(held)
+                else:
+                    walk(held, level + 1, prefix + step, passed)
+
+        leaf = {}
+        walk(list(mine), 0, "", urls.PRIOR)
+        for template, (prior, held) in leaf.items():
+            b, g = (sum(mine[m][i] for m in held) for i in (1, 2))
+            for m in held:
+                out[host, m] = (template, round((b + prior * urls.STRENGTH) / (b + g + urls.STRENGTH), 9))
+    return out
+
+
+def test_tree_equals_plain_version(spark):
+    rng, given = random.Random(4), {}
+    words = ["a", "b", "news", "shop", "#", "x-#", ""]
+    for host in ("", "one.net", "two.org"):
+        for _ in range(150):
+            shape = "".join("/" + rng.choice(words) for _ in range(rng.randrange(9)))
+            bad = rng.choice([0, 0, 3, 9]) * shape.startswith(("/shop", "/#"))
+            given[host, shape] = [bad + 5 + rng.randrange(4), bad, rng.choice([0, 0, 0, 2])]
+        given[host, "/rare"] = [1, 1, 0]
+    frame = spark.createDataFrame([(*k, *v) for k, v in given.items()], "host string, shape string, rows long, bad long, good long")
+    found = {(r.host, r.shape): (r.template, round(r.purity, 9)) for r in urls.templates(frame).collect()}
+    wanted = plain_tree(given)
+    assert found.keys() == wanted.keys()
+    assert all(found[k][0] == wanted[k][0] and abs(found[k][1] - wanted[k][1]) < 1e-8 for k in wanted)
+
+
+@pytest.fixture(scope="module")
+def held_out(spark):
+    """(share right, share of allow) of hidden rule verdicts: a third is hidden, the tree has to find them from the rest."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    ruled = urls.longest_rule(urls.host_of(F.col("url")), urls.path_of(F.col("url")), urls.RULES)
+    truth = F.create_map(*[F.lit(v) for pair in urls.RULES for v in pair])[ruled]
+    hidden = F.crc32(F.col("url")) % 3 == 0
+    # Without rules of its own every verdict is the tree's; it learns from the labels that are not hidden.
+    found = urls.judged(pages, (), F.when(~hidden, truth)).withColumns({"truth": truth, "hidden": hidden})
+    rows = found.where("hidden AND truth IS NOT NULL").select("truth", "verdict").collect()
+    return sum(r.truth == r.verdict for r in rows) / len(rows), sum(r.truth == "allow" for r in rows) / len(rows)
+
+
+def test_verdicts_beat_the_prior_on_held_out_labels(held_out):
+    right, prior = held_out
+    assert right > prior + 0.2
+
+
+@pytest.mark.xfail(reason="0.8987 measured (346 of 385): blocked urls of templates with few labels stay allowed")
+def test_nine_of_ten_held_out_labels_are_found(held_out):
+    assert held_out[0] > 0.9
