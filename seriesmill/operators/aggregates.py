@@ -32,12 +32,19 @@ def monthly_mean(
     )
     if not fill_gaps:
         return months
-    every = F.sequence(F.min("month_start"), F.max("month_start"), F.expr("interval 1 month"))
-    calendar = months.groupBy(*keys).agg(every.alias("_all"))
-    calendar = calendar.select(*keys, F.explode("_all").alias("month_start"))
-    empty = calendar.select(*keys, "month_start", F.lit(None).cast("double").alias("price"), F.lit(0).cast("long").alias("n"))
-    # Grouping keeps the months of a null key, which a join on equal keys would not.
-    return months.unionByName(empty).groupBy(*keys, "month_start").agg(F.max("price").alias("price"), F.max("n").alias("n"))
+    # Every month brings the gap after it, so one sort per key makes the calendar and no table of it is hashed.
+    order = Window.partitionBy(*keys).orderBy("month_start")
+    same = order.rangeBetween(Window.currentRow, Window.currentRow)
+    last = F.coalesce(F.add_months(F.lead("month_start").over(order), -1), F.col("month_start"))
+    spans = months.select(
+        *keys, "month_start", F.max("price").over(same).cast("double").alias("price"), F.max("n").over(same).alias("n"),
+        last.alias("_last"), F.row_number().over(order).alias("_place"),
+    ).where("month_start IS NOT NULL OR _place = 1")  # rows without a month come first and are one
+    every = F.sequence("month_start", "_last", F.expr("interval 1 month"))
+    known = F.col("_month").eqNullSafe(F.col("month_start"))
+    return spans.select("*", F.explode_outer(every).alias("_month")).select(
+        *keys, F.col("_month").alias("month_start"), F.when(known, F.col("price")).alias("price"), F.when(known, F.col("n")).otherwise(0).alias("n")
+    )
 
 
 def series_extent(months: DataFrame) -> DataFrame:
