@@ -139,11 +139,17 @@ def improvement_over(metrics: DataFrame, base: str) -> DataFrame:
 POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8)]
 
 
+#: Draws of a task, at most, so that tasks follow the draws and not the few bytes of the rows they are made for.
+DRAWS_PER_TASK = 4_000_000
+
+
 def resampling_weight(idx: Column, replicate: Column, seed: int = 42) -> Column:
-    """How often a row occurs in a bootstrap replicate: a Poisson draw from a hash of both, the same on any layout."""
-    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), idx.cast("string"), replicate.cast("string"))), 1, 8)
-    drawn = F.conv(digits, 16, 10).cast("double") / float(1 << 32)
-    return sum(((drawn >= limit).cast("int") for limit in POISSON), F.lit(0))
+    """How often a row occurs in a bootstrap replicate: a Poisson draw from a hash of both, the same on any layout.
+
+    The draw is the number that the first 8 hexadecimal digits of the hash are, over 2 ** 32. Digits compare as numbers do.
+    """
+    digits = F.md5(F.concat_ws(":", F.lit(seed), idx.cast("string"), replicate.cast("string")))
+    return sum(((digits >= f"{math.ceil(limit * (1 << 32)):08x}").cast("int") for limit in POISSON), F.lit(0))
 
 
 def bootstrap_scores(
@@ -151,14 +157,21 @@ def bootstrap_scores(
 ) -> DataFrame:
     """(keys.., replicate, n, rmse, mae) on rows drawn with replacement: all replicates in one aggregation.
 
-    Every row meets its replicates in its own task and is summed there; only sums are shuffled.
+    Every row meets its replicates in its own task and is summed there; only sums are shuffled. ``predictions``
+    should be staged, since they are counted first.
     """
-    each = predictions.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    weighed = each.withColumn("_w", resampling_weight(F.col(idx), F.col("replicate"), seed)).where("_w > 0")
+    tasks = predictions.count() * replicates // DRAWS_PER_TASK + 1
+    spread = predictions.repartition(tasks, idx, *keys)
+    each = spread.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    weighed = each.withColumn("_w", resampling_weight(F.col(idx), F.col("replicate"), seed))
     error = F.col("actual") - F.col("predicted")
+    drawn = F.col("_w") > 0  # a row that is not drawn counts nowhere, whatever its error
     sums = weighed.groupBy(*keys, "replicate").agg(
-        F.sum("_w").alias("n"), F.sum(F.col("_w") * error * error).alias("_squares"), F.sum(F.col("_w") * F.abs(error)).alias("_sizes")
+        F.sum("_w").alias("n"),
+        F.sum(F.when(drawn, F.col("_w") * error * error)).alias("_squares"),
+        F.sum(F.when(drawn, F.col("_w") * F.abs(error))).alias("_sizes"),
     )
+    sums = sums.where("n > 0")
     return sums.select(*keys, "replicate", "n", F.sqrt(F.col("_squares") / F.col("n")).alias("rmse"), (F.col("_sizes") / F.col("n")).alias("mae"))
 
 

@@ -2,8 +2,10 @@
 
 import datetime
 
+import pytest
+from pyspark.sql import functions as F
 
-from seriesmill.operators import aggregates
+from seriesmill.operators import aggregates, metrics
 
 
 def plan(df, capsys):
@@ -27,3 +29,28 @@ def test_gaps_are_filled_without_hashing_the_calendar(spark, capsys):
     assert len(listed) == len(expected) and set(listed) == expected
     shown = plan(found, capsys)
     assert shown.count("HashAggregate(") == 2 and shown.count("Exchange") == 2
+
+
+def test_draws_are_spread_over_tasks(spark, monkeypatch, capsys):
+    rows = spark.range(300).select(
+        F.lit("m").alias("model"), F.col("id").alias("idx"), F.lit(1.0).alias("actual"), (F.col("id") % 7).cast("double").alias("predicted")
+    )
+    whole = {r["replicate"]: r for r in metrics.bootstrap_scores(rows.coalesce(1), replicates=20).collect()}
+    monkeypatch.setattr(metrics, "DRAWS_PER_TASK", 1000)
+    spread = metrics.bootstrap_scores(rows.coalesce(1), replicates=20)
+    assert "REPARTITION_BY_NUM" in plan(spread, capsys) and "conv(" not in plan(spread, capsys)
+    for r in spread.collect():
+        other = whole[r["replicate"]]
+        assert r["n"] == other["n"] and r["rmse"] == pytest.approx(other["rmse"]) and r["mae"] == pytest.approx(other["mae"])
+
+
+def test_draws_are_those_of_the_number_and_an_undrawn_row_counts_nowhere(spark):
+    pairs = spark.range(2000).select(F.col("id").alias("idx"), (F.col("id") % 9).alias("k"))
+    digits = F.substring(F.md5(F.concat(F.lit("42:"), F.col("idx"), F.lit(":"), F.col("k"))), 1, 8)
+    u = F.conv(digits, 16, 10).cast("double") / float(1 << 32)
+    number = sum(((u >= limit).cast("int") for limit in metrics.POISSON), F.lit(0))
+    assert pairs.where(number != metrics.resampling_weight(F.col("idx"), F.col("k"))).count() == 0
+    rows = spark.createDataFrame([("m", i, 1.0, float("inf") if i == 0 else 0.0) for i in range(40)], "model string, idx long, actual double, predicted double")
+    drawn = {r.k for r in spark.range(1, 31).select(F.col("id").alias("k"), metrics.resampling_weight(F.lit(0), F.col("id")).alias("w")).where("w > 0").collect()}
+    scores = {r["replicate"]: r["rmse"] for r in metrics.bootstrap_scores(rows, replicates=30).collect()}
+    assert 0 < len(drawn) < 30 and all((scores[k] == float("inf")) == (k in drawn) for k in scores)
