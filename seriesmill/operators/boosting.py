@@ -1,6 +1,7 @@
 """Regularised boosted trees from histograms of gradients, one Spark job for each level of a tree.
 
-Features are cut into at most ``bins`` ranges once and staged as one byte each. A job adds up gradients and rows by
+Features are cut into at most ``bins`` ranges once and staged as one byte each, ``CHUNK_ROWS`` rows a value, so that a pass moves
+blocks of bytes and no single rows. A job adds up gradients and rows by
 (node, feature, range): every task has one histogram, and only its cells are shuffled and summed. The driver gets the cells,
 nodes x features x ranges at most, whatever the number of rows, and picks the splits by their second-order gain
 
@@ -30,6 +31,9 @@ from seriesmill.session import stage
 
 MISSING = 255
 ROUNDS_PER_STAGE = 10
+#: Rows of a staged value, and bytes of a row group of such values, which is what a task reads at once.
+CHUNK_ROWS = 1 << 13
+GROUP_BYTES = 1 << 24
 TRAIN_LOSS, LATE_LOSS = -1, -2
 #: Up to so many cells of all tasks are summed by the driver; beyond it a shuffle sums them first.
 DIRECT_CELLS = 1 << 20
@@ -54,23 +58,26 @@ class Tree:
         whole[0][:] = -1
         return cls(*whole)
 
-    def leaves(self, codes: np.ndarray) -> np.ndarray:
-        """Node of each row, by the ranges of its features (feature x row)."""
-        return self._walk(codes, codes == MISSING, self.cut)
+    def by_code(self, codes: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """What ``out`` has for the node of each row, by the ranges of its features (feature x row)."""
+        return self._spread(codes, lambda values: values == MISSING, self.cut, out)
 
-    def leaves_of(self, values: np.ndarray) -> np.ndarray:
-        """Node of each row, by its values (feature x row)."""
-        return self._walk(values, np.isnan(values), self.threshold)
+    def by_value(self, values: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """What ``out`` has for the node of each row, by its values (feature x row)."""
+        return self._spread(values, np.isnan, self.threshold, out)
 
-    def _walk(self, values, missing, limit):
-        node, at = np.ones(values.shape[1], np.int64), np.arange(values.shape[1])
-        while True:
+    def _spread(self, values, missing, limit, out):
+        # Whole columns are compared, a node at a time, and results chosen from the leaves up.
+        def below(node):
             feature = self.feature[node]
-            inner = feature >= 0
-            if not inner.any():
-                return node
-            left = np.where(missing[feature, at], self.missing_left[node], values[feature, at] <= limit[node])
-            node = np.where(inner, 2 * node + ~left, node)
+            if feature < 0:
+                return out[node]
+            left = values[feature] <= limit[node]
+            if self.missing_left[node]:
+                left |= missing(values[feature])
+            return np.where(left, below(2 * node), below(2 * node + 1))
+
+        return np.broadcast_to(below(1), values.shape[1])
 
 
 @dataclass(frozen=True)
@@ -82,7 +89,7 @@ class Boosted:
     losses: list[tuple[float, float]] = field(default_factory=list)
 
     def margins(self, values: np.ndarray) -> np.ndarray:
-        return self.base + sum((t.value[t.leaves_of(values)] for t in self.trees), np.zeros(values.shape[1]))
+        return self.base + sum((t.by_value(values, t.value) for t in self.trees), np.zeros(values.shape[1]))
 
 
 def chosen_features(features: Sequence[str], turn: int, share: float, seed: int) -> list[int]:
@@ -106,16 +113,33 @@ def bin_edges(df: DataFrame, features: Sequence[str], bins: int) -> list[np.ndar
     return out
 
 
+CHUNKS = "codes binary, y binary, late binary, margin binary"
+
+
+def _chunk(columns: Sequence[np.ndarray]) -> pa.RecordBatch:
+    """One row: the codes (feature x row), targets, validation marks and margins of some rows."""
+    kinds = (np.uint8, np.float64, np.bool_, np.float64)
+    packed = [pa.array([np.ascontiguousarray(c, kind).tobytes()], pa.binary()) for c, kind in zip(columns, kinds)]
+    return pa.RecordBatch.from_arrays(packed, ["codes", "y", "late", "margin"])
+
+
 def _codes(features: Sequence[str], edges: list[np.ndarray], model: Boosted):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in source:
             values = _values(batch, features)
             codes = [np.where(np.isnan(v), MISSING, np.searchsorted(e, v, "left")).astype(np.uint8) for v, e in zip(values, edges)]
-            columns = [pa.array(np.stack(codes, 1).reshape(-1)).view(pa.uint8())] if codes else []
-            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(len(codes)), len(batch), [None, columns[0].buffers()[1]])
-            yield pa.RecordBatch.from_arrays(
-                [packed.cast(pa.binary()), batch.column("_y"), batch.column("_late"), pa.array(model.margins(values))], ["codes", "y", "late", "margin"]
-            )
+            y, late = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_y", "_late"))
+            held.append((np.stack(codes), y, late, model.margins(values)))
+            rows += len(batch)
+            if rows >= CHUNK_ROWS:
+                whole = [np.concatenate(column, axis=-1) for column in zip(*held)]
+                full = rows - rows % CHUNK_ROWS
+                for at in range(0, full, CHUNK_ROWS):
+                    yield _chunk([column[..., at : at + CHUNK_ROWS] for column in whole])
+                held, rows = [[column[..., full:] for column in whole]], rows - full
+        if rows:
+            yield _chunk([np.concatenate(column, axis=-1) for column in zip(*held)])
 
     return run
 
@@ -124,51 +148,51 @@ def _values(batch: pa.RecordBatch, features: Sequence[str]) -> np.ndarray:
     return np.stack([batch.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in features])
 
 
-def _read(batch: pa.RecordBatch, width: int, recent: list[Tree]):
-    """Codes (feature x row), target, validation mark and present margin of a batch."""
-    # All values have one length, so they are the rows of a matrix.
-    packed = batch.column("codes")
-    offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset :]
-    data = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[offsets[0] if len(packed) else 0 :][: len(packed) * width]
-    codes = np.ascontiguousarray(data.reshape(-1, width).T)
-    y, late = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "late"))
-    margin = batch.column("margin").to_numpy(zero_copy_only=False).copy()
-    for tree in recent:
-        margin += tree.value[tree.leaves(codes)]
-    return codes, y, late.astype(bool), margin
+def _read(source: Iterator[pa.RecordBatch], width: int, recent: list[Tree]):
+    """Codes (feature x row), target, validation mark and present margin of each chunk."""
+    for batch in source:
+        for codes, y, late, margin in zip(*(batch.column(c) for c in ("codes", "y", "late", "margin"))):
+            codes = np.frombuffer(codes.as_buffer(), np.uint8).reshape(width, -1)
+            margin = np.frombuffer(margin.as_buffer(), np.float64)
+            for tree in recent:
+                margin = margin + tree.by_code(codes, tree.value)
+            yield codes, np.frombuffer(y.as_buffer(), np.float64), np.frombuffer(late.as_buffer(), np.bool_), margin
 
 
 def _advanced(width: int, recent: list[Tree]):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            margin = _read(batch, width, recent)[3]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("codes", "y", "late")], pa.array(margin)], ["codes", "y", "late", "margin"])
+        for columns in _read(source, width, recent):
+            yield _chunk(columns)
 
     return run
 
 
 def _cells(width: int, recent: list[Tree], growing: Tree, nodes: list[int], use: list[int]):
-    """(cell, g, n): sums of gradients and rows by (node, used feature, range), and the losses."""
+    """(cell, g, n): sums of gradients and rows by (node, used feature, range), and with the first pass of a tree the losses."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = np.full(len(growing.feature), -1)
         slot[nodes] = np.arange(len(nodes))
-        size = max(1, len(nodes) * len(use)) * 256
-        sums, rows, losses = np.zeros(size), np.zeros(size, np.int64), np.zeros((2, 2))
-        for batch in source:
-            codes, y, late, margin = _read(batch, width, recent)
+        size = max(1, len(nodes)) * 256
+        sums, rows, losses = np.zeros((len(use), size)), np.zeros((len(use), size), np.int64), np.zeros((2, 2))
+        for codes, y, late, margin in _read(source, width, recent):
             error = margin - y
-            for i, mark in enumerate((~late, late)):
-                losses[i] += (error[mark] ** 2).sum(), mark.sum()
+            if nodes in ([], [1]):
+                for i, mark in enumerate((~late, late)):
+                    losses[i] += (error[mark] ** 2).sum(), mark.sum()
             if not nodes:
                 continue
-            at = slot[growing.leaves(codes)]
+            at = growing.by_code(codes, slot)
             held = (at >= 0) & ~late
-            at, error = at[held] * len(use) * 256, error[held]
-            for j, f in enumerate(use):
-                cell = at + j * 256 + codes[f][held]
-                sums += np.bincount(cell, error, size)
-                rows += np.bincount(cell, minlength=size)
+            used, at = codes[use], at * 256
+            if not held.all():
+                used, at, error = used[:, held], at[held], error[held]
+            for j, codes_of in enumerate(used):
+                cell = at + codes_of
+                sums[j] += np.bincount(cell, error, size)
+                rows[j] += np.bincount(cell, minlength=size)
+        # By node, feature and range.
+        sums, rows = (x.reshape(len(use), max(1, len(nodes)), 256).swapaxes(0, 1).reshape(-1) for x in (sums, rows))
         full = np.flatnonzero(rows)
         yield pa.RecordBatch.from_arrays(
             [
@@ -250,6 +274,10 @@ def stopped_at(losses: Sequence[float], patience: int) -> int | None:
     return best + 1 if len(losses) - 1 - best >= patience else None
 
 
+def _staged(chunks: DataFrame) -> DataFrame:
+    return stage(chunks, "boosting-rows", {"parquet.block.size": str(GROUP_BYTES)})
+
+
 def fit(
     df: DataFrame,
     features: Sequence[str],
@@ -277,7 +305,7 @@ def fit(
     train = known.where("NOT _late")
     edges = bin_edges(train, features, bins)
     model = start or Boosted(list(features), train.agg(F.avg("_y")).head()[0] or 0.0, [])
-    rows = stage(known.mapInArrow(_codes(model.features, edges, model), "codes binary, y double, late boolean, margin double"), "boosting-rows")
+    rows = _staged(known.mapInArrow(_codes(model.features, edges, model), CHUNKS))
     trees, losses, recent = list(model.trees), list(model.losses), []
     parts = rows.rdd.getNumPartitions()
     while len(trees) < rounds:
@@ -289,7 +317,7 @@ def fit(
         trees.append(tree)
         recent.append(tree)
         if len(recent) == ROUNDS_PER_STAGE:
-            rows = stage(rows.mapInArrow(_advanced(len(features), recent), rows.schema), "boosting-rows")
+            rows = _staged(rows.mapInArrow(_advanced(len(features), recent), CHUNKS))
             recent, parts = [], rows.rdd.getNumPartitions()
     losses = [*losses[: len(trees)], _passed(rows, parts, len(features), recent, Tree.empty(1), [], [])[2]]
     if patience:

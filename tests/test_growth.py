@@ -2,10 +2,12 @@
 
 import datetime
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from seriesmill.operators import aggregates, metrics
+from seriesmill.operators import aggregates, boosting, metrics
 
 
 def plan(df, capsys):
@@ -54,3 +56,18 @@ def test_draws_are_those_of_the_number_and_an_undrawn_row_counts_nowhere(spark):
     drawn = {r.k for r in spark.range(1, 31).select(F.col("id").alias("k"), metrics.resampling_weight(F.lit(0), F.col("id")).alias("w")).where("w > 0").collect()}
     scores = {r["replicate"]: r["rmse"] for r in metrics.bootstrap_scores(rows, replicates=30).collect()}
     assert 0 < len(drawn) < 30 and all((scores[k] == float("inf")) == (k in drawn) for k in scores)
+
+
+def test_boosting_rows_are_staged_in_chunks():
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 5, (20_000, 2)).astype(float), rng.random(20_000)
+    x[::7, 1] = np.nan
+    table = pa.table({"a": x[:, 0], "b": x[:, 1], "_y": y, "_late": np.arange(20_000) % 3 == 0})
+    edges = [np.arange(4.0), np.arange(4.0)]
+    chunks = list(boosting._codes(["a", "b"], edges, boosting.Boosted(["a", "b"], 2.5, []))(iter(table.to_batches(3000))))
+    assert [len(c) for c in chunks] == [1, 1, 1]
+    read = list(boosting._read(iter(chunks), 2, []))
+    assert [c[0].shape[1] for c in read] == [boosting.CHUNK_ROWS, boosting.CHUNK_ROWS, 20_000 - 2 * boosting.CHUNK_ROWS]
+    codes, target, late, margin = (np.concatenate(column, axis=-1) for column in zip(*read))
+    assert (codes == np.where(np.isnan(x), boosting.MISSING, x).T).all() and (target == y).all()
+    assert (late == (np.arange(20_000) % 3 == 0)).all() and (margin == 2.5).all()
