@@ -25,6 +25,8 @@ from seriesmill.operators.splits import fold_bounds
 from seriesmill.sources.publish import publish, recover
 
 FEATURES = "features"
+#: Rows of a task of a regressor that passes over its rows many times; each pass ends with its longest task.
+ROWS_PER_TASK = 250_000
 
 
 def linear(target: str) -> LinearRegression:
@@ -119,7 +121,17 @@ def fit(
 ) -> PipelineModel:
     """Fit on the rows where ``fit_on`` holds (all rows by default)."""
     rows = df if fit_on is None else df.where(fit_on)
-    return pipeline_for(regressor, numeric, category, rows.count(), scale).fit(rows)
+    size = rows.count()
+    pipeline = pipeline_for(regressor, numeric, category, size, scale)
+    if not isinstance(regressor, GBTRegressor) or size <= ROWS_PER_TASK:
+        return pipeline.fit(rows)
+    # Trees pass over the rows some times a round: these are dealt evenly once, a whole number of tasks to each core.
+    encoders = Pipeline(stages=pipeline.getStages()[:-1]).fit(rows)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    late = [regressor.getValidationIndicatorCol()] if regressor.isSet("validationIndicatorCol") else []
+    dealt = encoders.transform(rows).select(FEATURES, regressor.getLabelCol(), *late)
+    dealt = dealt.repartition(cores * -(-size // (cores * ROWS_PER_TASK)))
+    return PipelineModel([*encoders.stages, regressor.fit(dealt)])
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:

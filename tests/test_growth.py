@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from seriesmill.operators import aggregates, boosting, metrics
+from seriesmill.operators import aggregates, boosting, learn, metrics
 
 
 def plan(df, capsys):
@@ -71,3 +71,24 @@ def test_boosting_rows_are_staged_in_chunks():
     codes, target, late, margin = (np.concatenate(column, axis=-1) for column in zip(*read))
     assert (codes == np.where(np.isnan(x), boosting.MISSING, x).T).all() and (target == y).all()
     assert (late == (np.arange(20_000) % 3 == 0)).all() and (margin == 2.5).all()
+
+
+def test_trees_are_fitted_on_evenly_dealt_rows(spark, monkeypatch):
+    frame = spark.range(4000).select(
+        F.col("id").cast("double").alias("a"), (F.col("id") % 3).cast("string").alias("k"), (F.col("id") % 50 + F.col("id") % 3).cast("double").alias("y"),
+        (F.col("id") % 5 == 0).alias("late"),
+    ).coalesce(1)
+    seen, plain = [], learn.GBTRegressor.fit
+
+    def fit(self, rows):
+        seen.append((rows.rdd.getNumPartitions(), sorted(rows.columns)))
+        return plain(self, rows)
+
+    whole = learn.score(learn.fit(frame, learn.boosted_trees("y", 2), ["a"], "k"), frame)
+    monkeypatch.setattr(learn, "ROWS_PER_TASK", 500)
+    monkeypatch.setattr(learn.GBTRegressor, "fit", fit)
+    dealt = learn.score(learn.fit(frame, learn.boosted_trees("y", 2), ["a"], "k"), frame)
+    learn.fit(frame, learn.boosted_trees("y", 2, "late"), ["a"], "k")
+    assert seen == [(8, ["features", "y"]), (8, ["features", "late", "y"])]
+    pairs = whole.join(dealt.select("a", F.col("predicted").alias("again")), "a")
+    assert pairs.where("abs(predicted - again) > 1e-6").count() == 0 and pairs.count() == 4000
