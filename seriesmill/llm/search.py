@@ -34,6 +34,10 @@ BEST = 50
 #: Terms of items that are asked in one pass over the index.
 ASKED = 200_000
 SLICE = 1 << 20
+#: Documents whose terms are held at once; each has a table of its own until they are written.
+HELD_DOCS = 500
+#: Bytes of a row group of the index, which a writer holds until it is full.
+GROUP_BYTES = 1 << 24
 #: Bytes of terms are ASCII letters and digits and all bytes beyond ASCII; only A-Z are lower-cased.
 TERM_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -63,24 +67,26 @@ def _held_terms(vocabulary):
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = vocabulary.value if vocabulary else None
-        for batch in source:
-            sizes, held = [], []
-            for text in batch.column("text"):
-                size, counts = 0, Counter()
-                for part in term_slices(text.as_py()):
-                    size += len(part)
-                    counts.update(part if wanted is None else filter(wanted.__contains__, part))
-                sizes.append(size)
-                held.append(counts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array([list(c) for c in held], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                    pa.array([list(c.values()) for c in held], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "n", "terms", "times"],
-            )
+        for whole in source:
+            for first in range(0, len(whole), HELD_DOCS):
+                batch = whole.slice(first, HELD_DOCS)
+                sizes, held = [], []
+                for text in batch.column("text"):
+                    size, counts = 0, Counter()
+                    for part in term_slices(text.as_py()):
+                        size += len(part)
+                        counts.update(part if wanted is None else filter(wanted.__contains__, part))
+                    sizes.append(size)
+                    held.append(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id"),
+                        pa.array(sizes, pa.int64()),
+                        pa.array([list(c) for c in held], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+                        pa.array([list(c.values()) for c in held], pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "n", "terms", "times"],
+                )
 
     return run
 
@@ -92,7 +98,7 @@ def index(docs: DataFrame, terms: DataFrame, most_terms: int = LOOKUP_ROWS) -> D
         vocabulary = docs.sparkSession.sparkContext.broadcast(frozenset(t["term"].encode() for t in terms.collect()))
     source = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = source.mapInArrow(_held_terms(vocabulary), "doc_id long, n long, terms array<string>, times array<long>")
-    return stage(held, "held-terms")
+    return stage(held, "held-terms", {"parquet.block.size": str(GROUP_BYTES)})
 
 
 class Asked(NamedTuple):

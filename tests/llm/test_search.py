@@ -95,3 +95,12 @@ def test_equals_sql(spark):
     answer = db.execute(search.SQL).fetchall()
     docs, items = (spark.read.parquet(f"{SMALL}/{name}.parquet") for name in ("documents", "benchmark"))
     assert sorted(answer) == sorted(tuple(r) for r in search.ranked(docs, items).collect())
+
+
+def test_terms_of_few_documents_are_held_at_once():
+    texts = [f"a b{i} a" for i in range(2 * search.HELD_DOCS + 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    made = list(search._held_terms(None)(iter([batch])))
+    assert [len(b) for b in made] == [search.HELD_DOCS, search.HELD_DOCS, 1]
+    rows = [r for b in made for r in b.to_pylist()]
+    assert rows == [{"doc_id": i, "n": 3, "terms": ["a", f"b{i}"], "times": [2, 1]} for i in range(len(texts))]
