@@ -21,9 +21,10 @@ from seriesmill.llm.packing import packed, unpacked
 from seriesmill.session import lookup, stage
 
 WIDTH = 10
-#: What stands between words before A-Z are lower-cased, and the two alphabets.
-BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The two alphabets, and what stands between words before A-Z are lower-cased: ASCII other than letters and digits.
+#: Listed one by one, the characters are looked up in a table; ranges are tried one after another.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BETWEEN = "[" + "".join(rf"\x{c:02X}" for c in range(128) if chr(c) not in UPPER + LOWER + "0123456789") + "]+"
 
 
 def parts(text: Column) -> Column:
@@ -85,7 +86,9 @@ def report(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
         hits.doc_id.alias("_id"), hits.digest.alias("_digest"), "hits", "ids"
     )
     marked = stage(marked, "contaminated")
-    base = docs.select("doc_id", F.xxhash64("text").alias("digest"), n_words(parts(F.col("text"))).alias("n_words"))
+    # A column of its own: Spark would split a text again for each use in ``n_words``.
+    base = docs.select("doc_id", F.xxhash64("text").alias("digest"), parts(F.col("text")).alias("words"))
+    base = base.select("doc_id", "digest", n_words(F.col("words")).alias("n_words"))
     both = base.join(marked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
     return both.select(
         "doc_id",

@@ -66,3 +66,18 @@ def test_shuffled_windows_and_empty_tables(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.report(frame, bench).collect()), key=repr) == brute(docs, items)
     assert decontaminate.report(frame.limit(0), bench).count() == 0
     assert decontaminate.report(frame, bench.limit(0)).filter("contaminated").count() == 0
+
+
+def test_texts_are_split_once_for_the_number_of_words(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    plan = decontaminate.report(docs, bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_every_ascii_character_but_letters_and_digits_stands_between_words(spark):
+    docs = [(c, f"a{chr(c)}b") for c in (*range(256), 0x130, 0x212A, 0x3000, 0xFFFD, 0x1F600)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = [(1, "b"), (2, "x")]
+    found = decontaminate.report(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(docs, items)
