@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,6 +125,40 @@ def test_shards_and_parts_of_frequent_words(spark, monkeypatch):
     assert abs(one - many) < 0.15 * abs(one)
 
 
+@pytest.mark.parametrize("part", [30, 300])
+def test_scores_do_not_depend_on_shards_and_parts(spark, monkeypatch, part):
+    """Counts of contexts that are dealt out, and discounts, are those of all texts, in one shard or many."""
+    line = " a line that all have w0 w1"
+    data = [(k, (t or "") + line * (k % 3)) for k, t in rows()]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    whole = {r.doc_id: r.score for r in lm.scored(frame).collect()}
+    monkeypatch.setattr(lm, "PAIRS_PER_SHARD", 100)
+    monkeypatch.setattr(lm, "SHARDS_PER_MERGE", 10)
+    monkeypatch.setattr(lm, "PART", part)
+    monkeypatch.setattr(lm, "SLICE_BYTES", 4000)
+    dealt = {r.doc_id: r.score for r in lm.scored(frame.repartition(4)).collect()}
+    assert dealt == pytest.approx(whole, rel=1e-5)
+    texts = {k: split(t) for k, t in data}
+    score = plain_model([x for k, x in texts.items() if not held(k)])
+    assert all(abs(dealt[k] - score(x)) < 0.002 * len(x) for k, x in texts.items())
+
+
+def test_frequent_pairs_are_found(spark, monkeypatch):
+    """All pairs above the limit, and none below half of it."""
+    monkeypatch.setattr(lm, "PART", 100)
+    monkeypatch.setattr(lm, "SLICE_BYTES", 2000)
+    texts = [["start", "start", *split(t)] for _, t in rows()]
+    counts = Counter(w for x in texts for w in x[2:])
+    pairs = Counter(p for x in texts for p in zip(x, x[1:-1]))
+    names = {w: int(lm.tokens(next(B.chunks(pa.array([w]))))[0][0]) for w in counts if w != "end"} | {"end": int(lm.END)}
+    model = lm.Frequent(np.array([names[w] for w in counts], np.uint64), np.array([*counts.values()]), sum(counts.values()), len(counts))
+    code = {w: int(model.code(np.array([h], np.uint64))[0]) for w, h in names.items()} | {"start": 0}
+    found, times = lm.frequent_pairs(spark.createDataFrame(rows(), "doc_id long, text string").repartition(3), model)
+    true = {code[u] << 20 | code[v]: c for (u, v), c in pairs.items()}
+    assert {p for p, c in true.items() if c > 100} <= set(found.tolist()) <= {p for p, c in true.items() if c > 50}
+    assert len(found) > 3 and all(c - 50 <= t <= c for t, c in ((t, true[p]) for p, t in zip(found.tolist(), times.tolist())))
+
+
 def test_empty(spark):
     assert lm.scored(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     alone = lm.scored(spark.createDataFrame([(1, None), (None, "x")], "doc_id long, text string")).collect()
